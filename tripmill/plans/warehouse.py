@@ -97,7 +97,7 @@ class Warehouse:
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet "
             f"{partitioned} LOCATION '{self.path(table)}' COMMENT '{comment}'"
         )
-        if partition:
+        if partition and self._path_exists(self.path(table)):
             # A session without a lasting catalog finds earlier months again.
             self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
 
@@ -137,9 +137,16 @@ class Warehouse:
             .saveAsTable(self.name(table))
         )
 
-    def delete_path(self, path: str) -> None:
+    def _files(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return hadoop_path, hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _path_exists(self, path: str) -> bool:
+        hadoop_path, files = self._files(path)
+        return files.exists(hadoop_path)
+
+    def delete_path(self, path: str) -> None:
+        hadoop_path, files = self._files(path)
         files.delete(hadoop_path, True)
 
     def _partition_column(self, table: str) -> str:
