@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmill.contracts import RAW_TRIPS, RAW_ZONES, PipelineParams
-from tripmill.functions import minute_number
+from tripmill.functions import minute_number, ntz
 
 EVENT_PARAMS = PipelineParams(
     max_trip_distance_miles=15,
@@ -42,10 +42,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _ntz(moment: datetime) -> Column:
-    return F.lit(moment).cast("timestamp_ntz")
-
-
 def _with_next_event(events: DataFrame) -> DataFrame:
     """Add ``next_ts`` and ``next_k`` of the user's following event.
 
@@ -76,106 +72,103 @@ def _with_next_event(events: DataFrame) -> DataFrame:
     )
 
 
-def trips_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+def _as_raw(rows: DataFrame, expressions: dict[str, str]) -> DataFrame:
+    """Select the loaded-trip columns from SQL expressions, cast to their contract."""
+    return rows.selectExpr(
+        *[
+            f"cast({expressions[f.name]} as {f.dataType.simpleString()}) as `{f.name}`"
+            for f in RAW_TRIPS.fields
+        ]
     )
-    event_id, value, k = F.col("event_id"), F.col("value"), F.col("k")
 
-    def unless(missing: Column, otherwise: Column) -> Column:
-        return F.when(~missing, otherwise)
 
-    vendor = (
-        F.when(F.col("event_type") == "view", 1)
-        .when(F.col("event_type") == "click", 2)
-        .when(F.col("event_type") == "purchase", 6)
-        .when(F.col("event_type") == "signup", 7)
-    )
-    flag = F.when(event_id % 50 == 0, "Y").when(event_id % 50 != 1, "N")
-    tip = F.when(event_id % 7 == 1, 0.2 * value).otherwise(0.0)
-    file_name = F.when(event_id % 97 == 0, "yellow_tripdata_2024-02.parquet").otherwise(
-        "yellow_tripdata_2024-01.parquet"
+def trips_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value",
+        "cast(get_json_object(props, '$.k') as int) as k",
     )
     # Every twentieth trip arrives again with a later load.
-    loads = F.when(
-        event_id % 20 == 0, F.array(_ntz(FIRST_LOAD), _ntz(SECOND_LOAD))
-    ).otherwise(F.array(_ntz(FIRST_LOAD)))
-    columns = {
-        "vendorid": vendor,
-        "tpep_pickup_datetime": F.col("ts"),
-        "tpep_dropoff_datetime": F.col("next_ts"),
-        "passenger_count": unless(event_id % 6 == 0, event_id % 6),
-        "trip_distance": value / 10,
-        "ratecodeid": unless(k % 8 == 0, k % 8),
-        "store_and_fwd_flag": flag,
-        "pulocationid": unless(k == 99, k % 25),
-        "dolocationid": F.col("next_k") % 25,
-        "payment_type": event_id % 7,
-        "fare_amount": value - 0.5,
-        "extra": F.lit(0.25),
-        "mta_tax": F.lit(0.5),
-        "tip_amount": tip,
-        "tolls_amount": F.lit(0.0),
-        "improvement_surcharge": F.lit(0.25),
-        "total_amount": value + 0.5 + tip,
-        "congestion_surcharge": unless(event_id % 11 == 0, F.lit(2.5)),
-        "airport_fee": F.when(k % 25 == 1, 1.75),
-        "cbd_congestion_fee": unless(event_id % 13 == 0, F.lit(0.75)),
-        "_source_file": file_name,
-        "_loaded_at": F.explode(loads),
-    }
-    trips = _with_next_event(events).select([c.alias(name) for name, c in columns.items()])
-    return trips.select([F.col(f.name).cast(f.dataType) for f in RAW_TRIPS.fields])
+    loads = f"""explode(filter(
+        array(timestamp_ntz'{FIRST_LOAD}', if(event_id % 20 = 0, timestamp_ntz'{SECOND_LOAD}', null)),
+        load -> load is not null))"""
+    trips = _with_next_event(events).selectExpr(
+        "*", "if(event_id % 7 = 1, 0.2D * value, 0D) as tip", f"{loads} as load"
+    )
+    return _as_raw(
+        trips,
+        {
+            "vendorid": "decode(event_type, 'view', 1, 'click', 2, 'purchase', 6, 'signup', 7)",
+            "tpep_pickup_datetime": "ts",
+            "tpep_dropoff_datetime": "next_ts",
+            "passenger_count": "nullif(event_id % 6, 0)",
+            "trip_distance": "value / 10",
+            "ratecodeid": "nullif(k % 8, 0)",
+            "store_and_fwd_flag": "decode(event_id % 50, 0, 'Y', 1, null, 'N')",
+            "pulocationid": "if(k = 99, null, k % 25)",
+            "dolocationid": "next_k % 25",
+            "payment_type": "event_id % 7",
+            "fare_amount": "value - 0.5D",
+            "extra": "0.25",
+            "mta_tax": "0.5",
+            "tip_amount": "tip",
+            "tolls_amount": "0",
+            "improvement_surcharge": "0.25",
+            "total_amount": "value + 0.5D + tip",
+            "congestion_surcharge": "if(event_id % 11 = 0, null, 2.5)",
+            "airport_fee": "if(k % 25 = 1, 1.75, null)",
+            "cbd_congestion_fee": "if(event_id % 13 = 0, null, 0.75)",
+            "_source_file": "concat('yellow_tripdata_2024-', if(event_id % 97 = 0, '02', '01'), '.parquet')",
+            "_loaded_at": "load",
+        },
+    )
 
 
 def trips_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
-    orders = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
-    )
     customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     suppliers = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    joined = (
-        lines.join(
-            orders.join(customers, orders.o_custkey == customers.c_custkey),
-            lines.l_orderkey == orders.o_orderkey,
-        )
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-    )
-    month = F.trunc(
-        F.add_months("o_orderdate", F.when(F.col("l_linenumber") == 7, 1).otherwise(0)), "MM"
+
+    def named(months_later: int) -> str:
+        month = f"add_months(o_orderdate, {months_later})"
+        return f"concat('yellow_tripdata_', substring(cast({month} as string), 1, 7), '.parquet')"
+
+    # File names are made once per order, not once per line.
+    orders = _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "o_orderdate",
+        "cast(substring(o_orderpriority, 1, 1) as int) as priority",
+        f"{named(0)} as file_name", f"{named(1)} as next_file_name",
     )
-    file_name = F.concat(
-        F.lit("yellow_tripdata_"), F.substring(month.cast("string"), 1, 7), F.lit(".parquet")
+    trips = lines.join(
+        orders.join(customers, orders.o_custkey == customers.c_custkey),
+        lines.l_orderkey == orders.o_orderkey,
+    ).join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+    return _as_raw(
+        trips,
+        {
+            "vendorid": "l_suppkey % 8",
+            "tpep_pickup_datetime": "o_orderdate",
+            "tpep_dropoff_datetime": "l_shipdate",
+            "passenger_count": "l_linenumber",
+            "trip_distance": "l_quantity",
+            "ratecodeid": "null",
+            "store_and_fwd_flag": "'N'",
+            "pulocationid": "c_nationkey",
+            "dolocationid": "s_nationkey",
+            "payment_type": "priority",
+            "fare_amount": "l_extendedprice",
+            "extra": "0",
+            "mta_tax": "0",
+            "tip_amount": "0",
+            "tolls_amount": "0",
+            "improvement_surcharge": "0",
+            "total_amount": "l_extendedprice * (1 - l_discount) * (1 + l_tax)",
+            "congestion_surcharge": "null",
+            "airport_fee": "null",
+            "cbd_congestion_fee": "null",
+            "_source_file": "if(l_linenumber = 7, next_file_name, file_name)",
+            "_loaded_at": f"timestamp_ntz'{FIRST_LOAD}'",
+        },
     )
-    price, rate = F.col("l_extendedprice"), F.lit(0.0)
-    columns = {
-        "vendorid": F.col("l_suppkey") % 8,
-        "tpep_pickup_datetime": F.col("o_orderdate"),
-        "tpep_dropoff_datetime": F.col("l_shipdate"),
-        "passenger_count": F.col("l_linenumber"),
-        "trip_distance": F.col("l_quantity"),
-        "ratecodeid": F.lit(None),
-        "store_and_fwd_flag": F.lit("N"),
-        "pulocationid": F.col("c_nationkey"),
-        "dolocationid": F.col("s_nationkey"),
-        "payment_type": F.substring("o_orderpriority", 1, 1),
-        "fare_amount": price,
-        "extra": rate,
-        "mta_tax": rate,
-        "tip_amount": rate,
-        "tolls_amount": rate,
-        "improvement_surcharge": rate,
-        "total_amount": price * (1 - F.col("l_discount")) * (1 + F.col("l_tax")),
-        "congestion_surcharge": F.lit(None),
-        "airport_fee": F.lit(None),
-        "cbd_congestion_fee": F.lit(None),
-        "_source_file": file_name,
-        "_loaded_at": _ntz(FIRST_LOAD),
-    }
-    trips = joined.select([c.alias(name) for name, c in columns.items()])
-    return trips.select([F.col(f.name).cast(f.dataType) for f in RAW_TRIPS.fields])
 
 
 def zones_from_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +180,7 @@ def zones_from_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("zone"),
         F.lit("Boro Zone").alias("service_zone"),
         F.lit("taxi_zone_lookup.csv").alias("_source_file"),
-        _ntz(FIRST_LOAD).alias("_loaded_at"),
+        ntz(FIRST_LOAD).alias("_loaded_at"),
     )
     return zones.select([F.col(f.name).cast(f.dataType) for f in RAW_ZONES.fields])
 

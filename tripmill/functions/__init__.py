@@ -2,7 +2,7 @@
 
 from tripmill.functions.numbers import average, ratio, round_to
 from tripmill.functions.text import trip_key
-from tripmill.functions.times import date_key, file_month, iso_weekday, minute_number, seconds_between
+from tripmill.functions.times import date_key, file_month, iso_weekday, minute_number, ntz, seconds_between
 
 __all__ = [
     "average",
@@ -10,6 +10,7 @@ __all__ = [
     "file_month",
     "iso_weekday",
     "minute_number",
+    "ntz",
     "ratio",
     "round_to",
     "seconds_between",

@@ -1,11 +1,13 @@
 """Time arithmetic on timestamps without a zone.
 
-Only field access and date arithmetic are used: both ignore the session time
-zone, whereas ``unix_timestamp`` and ``date_trunc`` go through a zoned value.
+Everything here ignores the session time zone: ``unix_timestamp`` counts a
+zone-less timestamp as it stands, whereas ``date_trunc`` would make it zoned.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,22 +15,19 @@ from tripmill.contracts import FILE_MONTH_PATTERN
 
 
 
-def _days(ts: Column) -> Column:
-    return F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-
-
-def _second_number(ts: Column) -> Column:
-    return _days(ts) * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+def ntz(moment: datetime) -> Column:
+    """Literal without a zone; a plain literal would be read in the local zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def minute_number(ts: Column) -> Column:
     """Whole minutes since 1970."""
-    return _days(ts) * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    return F.floor(F.unix_timestamp(ts) / 60)
 
 
 def seconds_between(start: Column, end: Column) -> Column:
     """Second boundaries crossed from ``start`` to ``end``; fractions are cut first."""
-    return _second_number(end) - _second_number(start)
+    return F.unix_timestamp(end) - F.unix_timestamp(start)
 
 
 def date_key(day: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.contracts import CARD, CASH, OUTLIER_TOTAL, UNCOLLECTED_PAYMENTS
-from tripmill.functions import average, ratio, round_to
+from tripmill.functions import average, ntz, ratio, round_to
 from tripmill.operators.medians import exact_medians, join_on_group
 
 
@@ -129,8 +129,10 @@ def robust_mean_and_median(
     trips = _cell_trips(fact.where(F.col("total_amount") < below), dim_zone, zone_name, hour)
     mean = trips.agg(round_to(F.avg("total_amount"), 2).alias("avg_total_without_outliers"))
     median = exact_medians(trips, [], {"median_total": F.col("total_amount")}, digits=2)
-    # Both sides are global aggregates of exactly one row.
-    return mean.withColumn("_one", F.lit(1)).join(median.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    # One row each; merged without a join.
+    return mean.unionByName(median, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("avg_total_without_outliers", "median_total")]
+    )
 
 
 def tips_by_payment(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:
@@ -235,8 +237,7 @@ def rejection_rate_by_month(flagged: DataFrame) -> DataFrame:
 
 
 def _recent(usage: DataFrame, as_of: datetime, days: int) -> DataFrame:
-    since = F.lit(as_of - timedelta(days=days)).cast("timestamp_ntz")
-    return usage.where(F.col("start_time") >= since)
+    return usage.where(F.col("start_time") >= ntz(as_of - timedelta(days=days)))
 
 
 def usage_by_day(usage: DataFrame, as_of: datetime, days: int = 30) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,15 @@ def _fee(raw: str) -> Column:
     return F.coalesce(_amount(raw), F.lit(0.0))
 
 
-def stage_trips(raw: DataFrame) -> DataFrame:
+def stage_trips(raw: DataFrame, month: date | None = None) -> DataFrame:
+    """All loaded trips, or those of one file month.
+
+    The month is read from the file name, the partition column of the loaded trips,
+    so asking for one month prunes the other files and needs no work per row.
+    """
+    named_month = file_month(F.col("_source_file"))
+    if month is not None:
+        raw = raw.where(named_month == F.lit(month))
     columns = {
         "vendor_key": _int("vendorid"),
         "rate_code_key": F.coalesce(_int("ratecodeid"), F.lit(UNKNOWN_RATE_CODE)),
@@ -45,7 +55,7 @@ def stage_trips(raw: DataFrame) -> DataFrame:
         "cbd_congestion_fee_amount": _fee("cbd_congestion_fee"),
         "total_amount": _amount("total_amount"),
         "source_file": F.col("_source_file"),
-        "source_file_month": file_month(F.col("_source_file")),
+        "source_file_month": named_month if month is None else F.lit(month),
         "loaded_at": F.col("_loaded_at"),
     }
     return raw.select([expr.alias(name) for name, expr in columns.items()])

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -17,6 +18,14 @@ from tripmill.plans.warehouse import Warehouse
 from tripmill.streaming.arrivals import ingest_month, ingest_zones
 
 
+def side_by_side(*jobs: Callable[[], None]) -> None:
+    """Run independent Spark jobs together; raise the first failure once all ended."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = [pool.submit(job) for job in jobs]
+    for job in running:
+        job.result()
+
+
 def _of_month(trips: DataFrame, month: str) -> DataFrame:
     return trips.where(F.col("source_file_month") == F.lit(month_start(month)))
 
@@ -28,18 +37,18 @@ def publish_staging(warehouse: Warehouse) -> None:
     staged.createOrReplaceTempView(f"{warehouse.prefix}stg_tlc__yellow_trips")
     zones = stage_zones(warehouse.read("taxi_zone_lookup"))
     zones.createOrReplaceTempView(f"{warehouse.prefix}stg_tlc__taxi_zones")
-    warehouse.rebuild("payment_type_codes", dimensions.payment_types(spark))
-    warehouse.rebuild("rate_code_codes", dimensions.rate_codes(spark))
-    warehouse.rebuild("vendor_codes", dimensions.vendors(spark))
+    side_by_side(
+        lambda: warehouse.rebuild("payment_type_codes", dimensions.payment_types(spark)),
+        lambda: warehouse.rebuild("rate_code_codes", dimensions.rate_codes(spark)),
+        lambda: warehouse.rebuild("vendor_codes", dimensions.vendors(spark)),
+    )
 
 
 def publish_intermediate(warehouse: Warehouse, month: str, params: PipelineParams) -> None:
     """Label the month's trips, then keep, key and enrich the valid ones."""
     day = month_start(month)
-    staged = warehouse.spark.table(f"{warehouse.prefix}stg_tlc__yellow_trips")
-    # The month comes from the file name, RAW's partition column: other files are pruned.
-    flagged = flag_trips(_of_month(staged, month), params)
-    warehouse.replace_partition("int_trips__flagged", day, flagged)
+    staged = stage_trips(warehouse.read("yellow_tripdata"), day)
+    warehouse.replace_partition("int_trips__flagged", day, flag_trips(staged, params))
     labelled = _of_month(warehouse.read("int_trips__flagged"), month)
     warehouse.replace_partition("int_trips__enriched", day, enrich_trips(labelled))
     # Counted here, not with the marts: a month stopped by a gate is reported too,
@@ -51,8 +60,11 @@ def publish_intermediate(warehouse: Warehouse, month: str, params: PipelineParam
 
 def check_quality(warehouse: Warehouse, month: str, params: PipelineParams) -> None:
     day = month_start(month)
-    gates.run_gate(gates.trips_are_distinct(warehouse.read("int_trips__enriched"), day))
-    gates.run_gate(gates.rejection_rate_is_low(warehouse.read("int_trips__flagged"), day, params))
+    enriched, flagged = warehouse.read("int_trips__enriched"), warehouse.read("int_trips__flagged")
+    side_by_side(
+        lambda: gates.run_gate(gates.trips_are_distinct(enriched, day)),
+        lambda: gates.run_gate(gates.rejection_rate_is_low(flagged, day, params)),
+    )
 
 
 def publish_marts(
@@ -61,26 +73,36 @@ def publish_marts(
     """Dimensions, the month of the fact and its partials, then the marts."""
     spark, day = warehouse.spark, month_start(month)
     zones = spark.table(f"{warehouse.prefix}stg_tlc__taxi_zones")
-    warehouse.rebuild("dim_date", dimensions.calendar(spark, params.start_month, params.end_month))
-    warehouse.rebuild("dim_payment_type", warehouse.read("payment_type_codes"))
-    warehouse.rebuild("dim_rate_code", warehouse.read("rate_code_codes"))
-    warehouse.rebuild("dim_vendor", warehouse.read("vendor_codes"))
-    warehouse.rebuild("dim_zone", dimensions.dim_zone(zones, **(zone_options or {})))
-
-    enriched = _of_month(warehouse.read("int_trips__enriched"), month)
-    warehouse.replace_partition("fct_trips", day, build_fact(enriched))
-
-    cells = marts.trip_cells(_of_month(warehouse.read("fct_trips"), month))
-    warehouse.declare_monthly("int_trips__cells", cells, "Sums per zone, day, hour and payment type")
-    warehouse.replace_partition("int_trips__cells", day, cells)
-
-    all_cells = warehouse.read("int_trips__cells")
+    days = dimensions.calendar(spark, params.start_month, params.end_month)
+    dim_zone = dimensions.dim_zone(zones, **(zone_options or {}))
+
+    def publish_fact() -> None:
+        enriched = _of_month(warehouse.read("int_trips__enriched"), month)
+        warehouse.replace_partition("fct_trips", day, build_fact(enriched))
+        cells = marts.trip_cells(_of_month(warehouse.read("fct_trips"), month))
+        warehouse.declare_monthly("int_trips__cells", cells, "Sums per zone, day, hour and payment type")
+        warehouse.replace_partition("int_trips__cells", day, cells)
+
+    def publish(mart: str, rows: DataFrame) -> Callable[[], None]:
+        return lambda: warehouse.rebuild(mart, rows)
+
+    side_by_side(
+        publish_fact,
+        publish("dim_date", days),
+        publish("dim_zone", dim_zone),
+        publish("dim_payment_type", warehouse.read("payment_type_codes")),
+        publish("dim_rate_code", warehouse.read("rate_code_codes")),
+        publish("dim_vendor", warehouse.read("vendor_codes")),
+        publish("mart_data_quality", marts.data_quality(warehouse.read("int_trips__status_counts"))),
+    )
+    cells = warehouse.read("int_trips__cells")
     dim_date, dim_payment = warehouse.read("dim_date"), warehouse.read("dim_payment_type")
-    warehouse.rebuild("mart_daily_revenue", marts.daily_revenue(all_cells, dim_date, dim_payment))
-    demand = marts.zone_hourly_demand(all_cells, warehouse.read("dim_zone"))
-    warehouse.rebuild("mart_zone_hourly_demand", demand)
-    quality = marts.data_quality(warehouse.read("int_trips__status_counts"))
-    warehouse.rebuild("mart_data_quality", quality)
+    side_by_side(
+        publish("mart_daily_revenue", marts.daily_revenue(cells, dim_date, dim_payment)),
+        publish(
+            "mart_zone_hourly_demand", marts.zone_hourly_demand(cells, warehouse.read("dim_zone"))
+        ),
+    )
 
 
 def run_month(

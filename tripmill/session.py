@@ -16,6 +16,8 @@ def build_session(app_name: str = "tripmill", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.filterPushdown", "true")
+        # Recording the call site of every column expression slows plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
     )
     if master:

@@ -9,16 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.contracts import RAW_TRIPS, RAW_ZONES, TRIP_FILE_SCHEMA, ZONE_FILE_SCHEMA
+from tripmill.functions import ntz
 
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _stamp(moment: datetime) -> Column:
-    return F.lit(moment).cast("timestamp_ntz")
-
-
 def _to_contract(name: str, source: T.DataType | None, target: T.DataType) -> Column:
     if source is None:
         return F.lit(None).cast(target)
@@ -54,7 +51,7 @@ def read_trip_file(
         columns.append(column.alias(field.name))
     return trips.select(
         *columns,
-        _stamp(loaded_at or utc_now()).alias("_loaded_at"),
+        ntz(loaded_at or utc_now()).alias("_loaded_at"),
         F.lit(file_name).alias("_source_file"),
     ).select(RAW_TRIPS.names)
 
@@ -71,7 +68,7 @@ def read_zone_file(spark: SparkSession, path: str, loaded_at: datetime | None =
         .select(
             *ZONE_FILE_SCHEMA.names,
             F.lit(path.rstrip("/").rsplit("/", 1)[-1]).alias("_source_file"),
-            _stamp(loaded_at or utc_now()).alias("_loaded_at"),
+            ntz(loaded_at or utc_now()).alias("_loaded_at"),
         )
         .select(RAW_ZONES.names)
     )
