@@ -97,7 +97,7 @@ class Warehouse:
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet "
             f"{partitioned} LOCATION '{self.path(table)}' COMMENT '{comment}'"
         )
-        if partition and self._path_exists(self.path(table)):
+        if partition and self.path_exists(self.path(table)):
             # A session without a lasting catalog finds earlier months again.
             self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)}")
 
@@ -141,7 +141,7 @@ class Warehouse:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path, hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _path_exists(self, path: str) -> bool:
+    def path_exists(self, path: str) -> bool:
         hadoop_path, files = self._files(path)
         return files.exists(hadoop_path)
 

@@ -9,9 +9,10 @@ the file's own partition instead of appending to it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.contracts import TRIP_FILE_NAME, ZONE_FILE_NAME, trip_file_name
@@ -21,8 +22,16 @@ from tripmill.sources.landing import read_trip_file, read_zone_file, utc_now
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def _load_once(spark: SparkSession, path: str, checkpoint: str, load) -> None:
-    arrivals = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).load(path).select("path")
+def _load_once(warehouse: Warehouse, landing: str, file_name: str, load: Callable[[], None]) -> None:
+    if not warehouse.path_exists(f"{landing}/{file_name}"):
+        raise FileNotFoundError(f"{file_name} has not arrived in {landing}")
+    # The braces make the path a pattern: a stream may not name a single file.
+    arrivals = (
+        warehouse.spark.readStream.format("binaryFile")
+        .schema(_FILE_SCHEMA)
+        .load(f"{landing}/{{{file_name}}}")
+        .select("path")
+    )
 
     def on_batch(batch: DataFrame, _batch_id: int) -> None:
         if not batch.isEmpty():
@@ -30,7 +39,7 @@ def _load_once(spark: SparkSession, path: str, checkpoint: str, load) -> None:
 
     query = (
         arrivals.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", warehouse.checkpoint(file_name))
         .trigger(availableNow=True)
         .start()
     )
@@ -42,27 +51,26 @@ def ingest_month(
 ) -> int:
     """Load the month's file unless it was loaded before; return its loaded rows."""
     spark, file_name = warehouse.spark, trip_file_name(month)
-    path = f"{landing.rstrip('/')}/{file_name}"
-    stamp = loaded_at or utc_now()
+    landing, stamp = landing.rstrip("/"), loaded_at or utc_now()
 
     def load() -> None:
-        trips = read_trip_file(spark, path, file_name, stamp)
+        trips = read_trip_file(spark, f"{landing}/{file_name}", file_name, stamp)
         warehouse.replace_partition("yellow_tripdata", file_name, trips)
 
-    _load_once(spark, path, warehouse.checkpoint(file_name), load)
+    _load_once(warehouse, landing, file_name, load)
     loaded = warehouse.read("yellow_tripdata").where(F.col("_source_file") == file_name)
     return loaded.count()
 
 
 def ingest_zones(warehouse: Warehouse, landing: str, loaded_at: datetime | None = None) -> int:
     """Load the zone list unless it was loaded before; return the loaded zones."""
-    path = f"{landing.rstrip('/')}/{ZONE_FILE_NAME}"
-    stamp = loaded_at or utc_now()
+    landing, stamp = landing.rstrip("/"), loaded_at or utc_now()
 
     def load() -> None:
-        warehouse.rebuild("taxi_zone_lookup", read_zone_file(warehouse.spark, path, stamp))
+        zones = read_zone_file(warehouse.spark, f"{landing}/{ZONE_FILE_NAME}", stamp)
+        warehouse.rebuild("taxi_zone_lookup", zones)
 
-    _load_once(warehouse.spark, path, warehouse.checkpoint(ZONE_FILE_NAME), load)
+    _load_once(warehouse, landing, ZONE_FILE_NAME, load)
     return warehouse.read("taxi_zone_lookup").count()
 
 
