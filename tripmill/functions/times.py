@@ -42,5 +42,5 @@ def iso_weekday(day: Column) -> Column:
 
 def file_month(file_name: Column) -> Column:
     """First day of the month named in a file, NULL when it names none."""
-    month = F.regexp_substr(file_name, F.lit(FILE_MONTH_PATTERN))
-    return F.to_date(F.concat(month, F.lit("-01")))
+    month = F.regexp_extract(file_name, FILE_MONTH_PATTERN, 0)
+    return F.concat(month, F.lit("-01")).try_cast("date")

@@ -54,8 +54,9 @@ def exact_medians(
     )
     group = [*keys, "_m"]
     bins = counted.groupBy(*group, "_bin").agg(F.sum("_n").alias("_in_bin"))
-    whole = Window.partitionBy(*group)
-    running = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_bin = Window.partitionBy(*group).orderBy("_bin")
+    whole = by_bin.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    running = by_bin.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     size = F.col("_size")
     middle_bins = (
         bins.withColumn("_size", F.sum("_in_bin").over(whole))

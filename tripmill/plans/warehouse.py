@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,15 +129,35 @@ class Warehouse:
             f"PARTITION (`{column}` = {self._literal(value)})"
         )
 
-    def rebuild(self, table: str, rows: DataFrame) -> None:
-        """Replace a whole table. ``rows`` must not read the table itself."""
-        (
-            rows.write.mode("overwrite")
-            .format("parquet")
-            .option("path", self.path(table))
-            .saveAsTable(self.name(table))
+    def replace_all(self, table: str, rows: DataFrame) -> None:
+        """Replace the rows of a declared table without partitions."""
+        columns = self.read(table).columns
+        self.spark.sql(
+            f"INSERT OVERWRITE TABLE {self.name(table)} SELECT * FROM {{rows}}", rows=rows.select(columns)
         )
 
+    def rebuild(self, table: str, rows: DataFrame) -> None:
+        """Replace a whole table, its columns included.
+
+        The rows go to a new folder and the table is pointed there once they are
+        complete, so a failed job leaves the previous content in place. The folder
+        just replaced is kept for queries still reading it and goes next time.
+        """
+        folder = f"{self.path(table)}/{uuid.uuid4().hex}"
+        rows.write.parquet(folder)
+        replaced = self._location(table) if self.exists(table) else None
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+        self.spark.sql(f"CREATE TABLE {self.name(table)} USING parquet LOCATION '{folder}'")
+        hadoop_path, files = self._files(self.path(table))
+        for status in files.listStatus(hadoop_path):
+            name = status.getPath().getName()
+            if name not in (folder.rsplit("/", 1)[-1], replaced):
+                files.delete(status.getPath(), True)
+
+    def _location(self, table: str) -> str:
+        described = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)}")
+        return described.where("col_name = 'Location'").first()["data_type"].rstrip("/").rsplit("/", 1)[-1]
+
     def _files(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path, hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())

@@ -68,7 +68,7 @@ def ingest_zones(warehouse: Warehouse, landing: str, loaded_at: datetime | None
 
     def load() -> None:
         zones = read_zone_file(warehouse.spark, f"{landing}/{ZONE_FILE_NAME}", stamp)
-        warehouse.rebuild("taxi_zone_lookup", zones)
+        warehouse.replace_all("taxi_zone_lookup", zones)
 
     _load_once(warehouse, landing, ZONE_FILE_NAME, load)
     return warehouse.read("taxi_zone_lookup").count()
