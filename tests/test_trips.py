@@ -12,7 +12,9 @@ from tripmill.contracts import (
 )
 from tripmill.operators.rules import flag_trips
 from tripmill.operators.staging import stage_trips, stage_zones
-from tripmill.operators.trips import build_fact, enrich_trips, keep_first_copy
+from tripmill.operators.trips import (
+    build_fact, enrich_trips, keep_first_copy, repeated_keys, valid_trips,
+)
 
 PARAMS = PipelineParams()
 
@@ -80,6 +82,23 @@ def test_one_trip_copied_thousands_of_times(spark, staged):
     assert [r.passenger_count for r in kept] == [0]
 
 
+def test_knowing_the_repeated_keys_gives_the_same_rows(spark, staged):
+    flagged = flag_trips(stage_trips(fx.trips_from_events(spark, SF)), fx.EVENT_PARAMS)
+    edge = flag_trips(
+        staged(
+            {"vendor_key": None, "passenger_count": 1}, {"vendor_key": None, "passenger_count": 2},
+            {"fare_amount": 0.0, "passenger_count": 4}, {"fare_amount": -0.0, "passenger_count": 3},
+            {"trip_distance_miles": None}, {"trip_distance_miles": None, "fare_amount": None},
+        ),
+        PARAMS,
+    )
+    for rows, repeated_count in ((flagged, 44), (edge, 2)):
+        repeated = repeated_keys(valid_trips(rows))
+        assert repeated.count() == repeated_count
+        plain, spared = enrich_trips(rows), enrich_trips(rows, repeated)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, spared.collect()))
+
+
 def test_derived_measures(staged):
     rows = enrich_trips(
         flag_trips(

@@ -13,11 +13,15 @@ from tripmill.contracts import PipelineParams, check_month, month_start, trip_fi
 from tripmill.operators import dimensions, gates, marts
 from tripmill.operators.rules import flag_trips
 from tripmill.operators.staging import stage_trips, stage_zones
-from tripmill.operators.trips import build_fact, enrich_trips
+from tripmill.operators.trips import build_fact, enrich_trips, repeated_keys, valid_trips
 from tripmill.plans.warehouse import Warehouse
 from tripmill.streaming.arrivals import ingest_month, ingest_zones
 
 
+# Repeated keys are eight bytes each: at most some 8 MB, below Spark's own limit.
+MAX_SENT_KEYS = 1_000_000
+
+
 def side_by_side(*jobs: Callable[[], None]) -> None:
     """Run independent Spark jobs together; raise the first failure once all ended."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
@@ -44,13 +48,24 @@ def publish_staging(warehouse: Warehouse) -> None:
     )
 
 
+def _few_repeated_keys(warehouse: Warehouse, month: str, flagged: DataFrame) -> DataFrame | None:
+    """The month's repeated keys if they are few enough to send to every task.
+
+    Copies are rare, so knowing them first spares the month a shuffle and two sorts
+    of whole rows. With more of them, all rows are compared instead.
+    """
+    keys = warehouse.work_table(f"repeated_keys/{month}", repeated_keys(valid_trips(flagged)))
+    return keys if keys.count() <= MAX_SENT_KEYS else None
+
+
 def publish_intermediate(warehouse: Warehouse, month: str, params: PipelineParams) -> None:
     """Label the month's trips, then keep, key and enrich the valid ones."""
     day = month_start(month)
     staged = stage_trips(warehouse.read("yellow_tripdata"), day)
     warehouse.replace_partition("int_trips__flagged", day, flag_trips(staged, params))
     labelled = _of_month(warehouse.read("int_trips__flagged"), month)
-    warehouse.replace_partition("int_trips__enriched", day, enrich_trips(labelled))
+    repeated = _few_repeated_keys(warehouse, month, labelled)
+    warehouse.replace_partition("int_trips__enriched", day, enrich_trips(labelled, repeated))
     # Counted here, not with the marts: a month stopped by a gate is reported too,
     # as soon as a later run publishes.
     counts = marts.status_counts(labelled)

@@ -32,9 +32,8 @@ _DECLARED: dict[str, tuple[str, T.StructType, str | None, str]] = {
     ),
     "fct_trips": ("marts", FACT_TRIPS, "source_file_month", "One row per valid trip"),
 }
-# Layer of the tables that are rebuilt in full or kept per month without a
-# declared schema.
-_LAYER_OF = {
+# Tables rebuilt in full by every run, and their layer.
+_REBUILT = {
     "payment_type_codes": "staging",
     "rate_code_codes": "staging",
     "vendor_codes": "staging",
@@ -46,10 +45,9 @@ _LAYER_OF = {
     "mart_daily_revenue": "marts",
     "mart_zone_hourly_demand": "marts",
     "mart_data_quality": "marts",
-    # Month partials from which the marts are rebuilt.
-    "int_trips__cells": "intermediate",
-    "int_trips__status_counts": "intermediate",
 }
+# Month partials from which the marts are rebuilt; their columns come from the job.
+_PARTIALS = {"int_trips__cells": "intermediate", "int_trips__status_counts": "intermediate"}
 
 
 class Warehouse:
@@ -63,7 +61,9 @@ class Warehouse:
         self.prefix = prefix
 
     def layer_of(self, table: str) -> str:
-        return _DECLARED[table][0] if table in _DECLARED else _LAYER_OF[table]
+        if table in _DECLARED:
+            return _DECLARED[table][0]
+        return _REBUILT[table] if table in _REBUILT else _PARTIALS[table]
 
     def name(self, table: str) -> str:
         return f"{self.prefix}{self.layer_of(table)}.{table}"
@@ -86,6 +86,9 @@ class Warehouse:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
         for table, (_, schema, partition, comment) in _DECLARED.items():
             self._create_table(table, schema, partition, comment)
+        for table in _REBUILT:
+            if not self.exists(table) and self.path_exists(self.path(table)):
+                self._point_at_newest(table)
 
     def _create_table(
         self, table: str, schema: T.StructType, partition: str | None, comment: str
@@ -118,8 +121,13 @@ class Warehouse:
         )
 
     def append(self, table: str, rows: DataFrame) -> None:
-        """Add rows of any number of partitions, used for a first bulk fill."""
-        rows.select(self.read(table).columns).write.insertInto(self.name(table))
+        """Add rows of any number of partitions, used for a first bulk fill.
+
+        Rebalancing gathers a partition's rows into few files and splits a partition
+        that is too large for one task.
+        """
+        ordered = rows.select(self.read(table).columns)
+        ordered.hint("rebalance", self._partition_column(table)).write.insertInto(self.name(table))
 
     def drop_partition(self, table: str, value: str | date) -> None:
         """Remove a partition and its rows."""
@@ -154,6 +162,24 @@ class Warehouse:
             if name not in (folder.rsplit("/", 1)[-1], replaced):
                 files.delete(status.getPath(), True)
 
+    def work_table(self, name: str, rows: DataFrame) -> DataFrame:
+        """Intermediate rows of a run, written to shared storage and read back."""
+        path = f"{self.root}/work/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _point_at_newest(self, table: str) -> None:
+        """Find a rebuilt table again in a session without a lasting catalog."""
+        hadoop_path, files = self._files(self.path(table))
+        complete = [
+            (status.getModificationTime(), status.getPath().toString())
+            for status in files.listStatus(hadoop_path)
+            if self.path_exists(f"{status.getPath().toString()}/_SUCCESS")
+        ]
+        if complete:
+            folder = max(complete)[1]
+            self.spark.sql(f"CREATE TABLE {self.name(table)} USING parquet LOCATION '{folder}'")
+
     def _location(self, table: str) -> str:
         described = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)}")
         return described.where("col_name = 'Location'").first()["data_type"].rstrip("/").rsplit("/", 1)[-1]
