@@ -22,10 +22,11 @@ def month_is_loaded(raw: DataFrame, file_name: str) -> DataFrame:
 
 
 def trips_are_distinct(enriched: DataFrame, month: date) -> DataFrame:
+    """Keys are compared as 16 bytes rather than 32 hexadecimal digits: half the shuffle."""
     rows = F.count(F.lit(1))
     return enriched.where(F.col("source_file_month") == F.lit(month)).agg(
         (rows > 0).alias("month_not_empty"),
-        (rows == F.countDistinct("trip_sk")).alias("no_duplicates"),
+        (rows == F.countDistinct(F.unhex("trip_sk"))).alias("no_duplicates"),
     )
 
 

@@ -437,6 +437,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "enriched_trips": _sql(*_e("enriched"), "select * exclude (trip_sk) from enriched"),
         "enriched_trips_volume": _sql(*_l("enriched"), "select * from enriched"),
+        "enriched_known_copies": _sql(*_e("enriched"), "select * from enriched"),
+        "enriched_known_copies_volume": _sql(*_l("enriched"), "select * from enriched"),
         "fact_trips": _sql(*_e("fact"), "select * from fact"),
         "mart_daily_revenue": _sql(
             *_e("fact"),
@@ -532,6 +534,13 @@ def oracle_sql() -> dict[str, str]:
             "select _source_file as source_file, count(*) as nb_rows, min(_loaded_at) as first_loaded_at"
             " from raw group by all",
         ),
+        "raw_value_checks": _sql(
+            *_l("raw"),
+            "select 'zone_count_ok' as check_name, count(*) = 25 as passed from nation"
+            " union all select 'zone_keys_distinct', count(*) = count(distinct n_nationkey) from nation"
+            " union all select 'fare_amount_has_decimals', bool_or(fare_amount % 1 <> 0) from raw"
+            " union all select 'total_amount_has_decimals', bool_or(total_amount % 1 <> 0) from raw",
+        ),
         "source_profile_codes": _sql(*_e("raw"), _profile_codes()),
         "source_profile_anomalies": _sql(
             *_l("raw"),

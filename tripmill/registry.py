@@ -12,7 +12,13 @@ from tripmill import fixtures as fx
 from tripmill.contracts import month_start, trip_file_name
 from tripmill.operators import analyses, dimensions, gates, marts, rules
 from tripmill.operators.staging import stage_trips, stage_zones
-from tripmill.operators.trips import build_fact, enrich_trips, keep_first_copy, valid_trips
+from tripmill.operators.trips import (
+    build_fact,
+    enrich_trips,
+    keep_first_copy,
+    repeated_keys,
+    valid_trips,
+)
 from tripmill.plans import monthly
 from tripmill.plans.warehouse import Warehouse
 from tripmill.session import scratch_dir
@@ -149,6 +155,19 @@ def enriched_trips_volume(spark, sf_dir):
     return lines(spark, sf_dir).enriched
 
 
+def enriched_known_copies(spark, sf_dir):
+    """The monthly run's way: find the repeated keys first, compare only their trips."""
+    flagged = stored(spark, events(spark, sf_dir).flagged, "flagged")
+    repeated = stored(spark, repeated_keys(valid_trips(flagged)), "repeated")
+    return enrich_trips(flagged, repeated)
+
+
+def enriched_known_copies_volume(spark, sf_dir):
+    flagged = stored(spark, lines(spark, sf_dir).flagged, "flagged")
+    repeated = stored(spark, repeated_keys(valid_trips(flagged)), "repeated")
+    return enrich_trips(flagged, repeated)
+
+
 def fact_trips(spark, sf_dir):
     return events(spark, sf_dir).fact
 
@@ -302,6 +321,19 @@ def raw_contract_checks(spark, sf_dir):
     return gates.load_summary(events(spark, sf_dir).raw)
 
 
+def raw_value_checks(spark, sf_dir):
+    """Zone list complete and unique, amounts with their cents; one row per check."""
+    checks = [
+        gates.zones_are_complete(fx.zones_from_nations(spark, sf_dir), expected=25),
+        gates.amounts_keep_decimals(lines(spark, sf_dir).raw),
+    ]
+    rows = []
+    for check in checks:
+        values = [F.struct(F.lit(c).alias("check_name"), F.col(c).alias("passed")) for c in check.columns]
+        rows.append(check.select(F.inline(F.array(*values))))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def source_profile_codes(spark, sf_dir):
     return profile.code_frequencies(events(spark, sf_dir).raw)
 
@@ -400,6 +432,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         trip_surrogate_key,
         enriched_trips,
         enriched_trips_volume,
+        enriched_known_copies,
+        enriched_known_copies_volume,
         fact_trips,
         mart_daily_revenue,
         mart_daily_revenue_volume,
@@ -425,6 +459,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         usage_totals,
         gate_values,
         raw_contract_checks,
+        raw_value_checks,
         source_profile_codes,
         source_profile_anomalies,
         source_profile_files,
