@@ -149,6 +149,23 @@ def test_rebuild_replaces_rows_and_columns(spark, warehouse):
     assert [tuple(r) for r in warehouse.read("dim_vendor").collect()] == [(2, 3)]
 
 
+def test_failed_replacement_keeps_the_month(spark, warehouse):
+    flagged = flag_trips(stage_trips(fx.trips_from_events(spark, SF)), fx.EVENT_PARAMS)
+    january = flagged.where(F.col("source_file_month") == F.lit(JANUARY))
+    warehouse.replace_partition("int_trips__flagged", JANUARY, january)
+    before = _content(warehouse, "int_trips__flagged")
+    lost = F.when(F.col("fare_amount") > 50, F.raise_error(F.lit("lost"))).otherwise(F.lit("x"))
+    with pytest.raises(Exception, match="lost"):
+        warehouse.replace_partition("int_trips__flagged", JANUARY, january.withColumn("rejection_reason", lost))
+    assert _content(warehouse, "int_trips__flagged") == before and len(before) == 1038
+    # Replacing with nothing, twice, and filling again.
+    for _ in range(2):
+        warehouse.replace_partition("int_trips__flagged", JANUARY, january.where("false"))
+        assert warehouse.read("int_trips__flagged").count() == 0
+    warehouse.replace_partition("int_trips__flagged", JANUARY, january)
+    assert _content(warehouse, "int_trips__flagged") == before
+
+
 def test_failed_rebuild_keeps_the_previous_rows(spark, warehouse):
     for value in (1, 2, 3):
         warehouse.rebuild("dim_vendor", spark.sql(f"SELECT {value} AS a"))

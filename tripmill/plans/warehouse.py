@@ -97,9 +97,11 @@ class Warehouse:
             return
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         partitioned = f"PARTITIONED BY (`{partition}`)" if partition else ""
+        # New files of a partition replace the old ones only once the job has ended well.
+        options = "OPTIONS (partitionOverwriteMode 'dynamic')" if partition else ""
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet "
-            f"{partitioned} LOCATION '{self.path(table)}' COMMENT '{comment}'"
+            f"{partitioned} {options} LOCATION '{self.path(table)}' COMMENT '{comment}'"
         )
         if partition and self.path_exists(self.path(table)):
             # A session without a lasting catalog finds earlier months again.
@@ -110,15 +112,22 @@ class Warehouse:
         self._create_table(table, rows.schema, "source_file_month", comment)
 
     def replace_partition(self, table: str, value: str | date, rows: DataFrame) -> None:
-        """Swap one partition's rows. Naming the partition empties it even when
-        ``rows`` is empty, which a dynamic overwrite would not do."""
+        """Swap one partition's rows; a failed job leaves the previous rows.
+
+        The overwrite touches only partitions that receive rows. Without any rows the
+        old files are still there afterwards, and the partition is dropped.
+        """
         column = self._partition_column(table)
+        folder = f"{self.path(table)}/{column}={value}"
         kept = [c for c in self.read(table).columns if c != column]
+        before = self._file_names(folder)
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name(table)} "
-            f"PARTITION (`{column}` = {self._literal(value)}) SELECT * FROM {{rows}}",
+            f"SELECT *, {self._literal(value)} AS `{column}` FROM {{rows}}",
             rows=rows.select(kept),
         )
+        if before and self._file_names(folder) == before:
+            self.drop_partition(table, value)
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows of any number of partitions, used for a first bulk fill.
@@ -136,6 +145,9 @@ class Warehouse:
             f"ALTER TABLE {self.name(table)} DROP IF EXISTS "
             f"PARTITION (`{column}` = {self._literal(value)})"
         )
+        # The tables name their location, so the catalog leaves the files alone.
+        self.delete_path(f"{self.path(table)}/{column}={value}")
+        self.spark.catalog.refreshTable(self.name(table))
 
     def replace_all(self, table: str, rows: DataFrame) -> None:
         """Replace the rows of a declared table without partitions."""
@@ -192,6 +204,12 @@ class Warehouse:
         hadoop_path, files = self._files(path)
         return files.exists(hadoop_path)
 
+    def _file_names(self, path: str) -> set[str]:
+        if not self.path_exists(path):
+            return set()
+        hadoop_path, files = self._files(path)
+        return {status.getPath().getName() for status in files.listStatus(hadoop_path)}
+
     def delete_path(self, path: str) -> None:
         hadoop_path, files = self._files(path)
         files.delete(hadoop_path, True)
