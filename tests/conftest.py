@@ -18,7 +18,9 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": 8})
+    session = build_session(
+        "tests", "local[8]", **{"spark.sql.shuffle.partitions": 8, "spark.driver.memory": "4g"}
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
