@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tripmill.llm import line_dedup, sharding
+from tripmill.llm import line_dedup, packing, sharding, token_files
 
 QUERIES = {
+    "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op8_token_files": token_files.op8_token_files,
     "op10_sharding": sharding.op10_sharding,
 }
 
