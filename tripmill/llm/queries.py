@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tripmill.llm import line_dedup, packing, sharding, token_files
+from tripmill.llm import line_dedup, packing, sharding, token_files, warc
 
 QUERIES = {
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op4_warc": warc.op4_warc,
     "op8_token_files": token_files.op8_token_files,
     "op10_sharding": sharding.op10_sharding,
 }
 
 ORACLE_SQL = {
     "op3_line_dedup": line_dedup.ORACLE,
+    "op4_warc": warc.ORACLE,
 }
