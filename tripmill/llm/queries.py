@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tripmill.llm import fingerprints, line_dedup, packing, sharding, token_files, warc
+from tripmill.llm import fingerprints, line_dedup, packing, sharding, token_files, toxicity, warc
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_warc": warc.op4_warc,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op8_token_files": token_files.op8_token_files,
     "op10_sharding": sharding.op10_sharding,
 }
