@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import fingerprints, line_dedup, packing, sharding, token_files, toxicity, warc
+from tripmill.llm import decontamination, fingerprints, line_dedup, packing, sharding, token_files, toxicity, warc
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_warc": warc.op4_warc,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_decontamination": decontamination.op6_decontamination,
     "op8_token_files": token_files.op8_token_files,
     "op10_sharding": sharding.op10_sharding,
 }
@@ -17,4 +18,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op4_warc": warc.ORACLE,
+    "op6_decontamination": decontamination.ORACLE,
 }
