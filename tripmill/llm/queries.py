@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import decontamination, fingerprints, line_dedup, packing, sharding, token_files, toxicity, warc
+from tripmill.llm import decontamination, fingerprints, jaccard_join, line_dedup, packing, sharding, token_files, toxicity, warc
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_decontamination": decontamination.op6_decontamination,
     "op8_token_files": token_files.op8_token_files,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_sharding": sharding.op10_sharding,
 }
 
@@ -19,4 +20,5 @@ ORACLE_SQL = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op4_warc": warc.ORACLE,
     "op6_decontamination": decontamination.ORACLE,
+    "op9_jaccard_join": jaccard_join.ORACLE,
 }
