@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import decontamination, fingerprints, jaccard_join, line_dedup, packing, sharding, token_files, toxicity, warc
+from tripmill.llm import decontamination, fingerprints, jaccard_join, line_dedup, packing, sharding, suffix_dedup, token_files, toxicity, warc
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_warc": warc.op4_warc,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_decontamination": decontamination.op6_decontamination,
+    "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_token_files": token_files.op8_token_files,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_sharding": sharding.op10_sharding,
