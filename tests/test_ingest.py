@@ -180,3 +180,16 @@ def test_contract_check_reports_differences(spark):
     summary = gates.load_summary(fx.trips_from_events(spark, SF)).collect()
     assert {r.source_file[-15:-8]: r.nb_rows for r in summary} == {"2024-01": 1038, "2024-02": 12}
     assert {r.first_loaded_at for r in summary} == {fx.FIRST_LOAD}
+
+
+def test_parts_of_one_month_may_drift(spark, landing):
+    """Each part is read with its own schema: no value of a column that a sibling lacks is lost."""
+    name = "yellow_tripdata_2025-06.parquet"
+    spark.range(5).selectExpr("id AS VendorID", "cast(1.5 AS double) AS passenger_count").write.parquet(f"{landing}/{name}")
+    spark.range(7).selectExpr("id AS vendorid", "2L AS passenger_count", "0.75D AS cbd_congestion_fee").write.mode(
+        "append"
+    ).parquet(f"{landing}/{name}")
+    rows = read_trip_file(spark, f"{landing}/{name}", name, STAMP)
+    got = rows.selectExpr("count(*)", "count(vendorid)", "count(cbd_congestion_fee)", "sum(passenger_count)").first()
+    assert tuple(got) == (12, 12, 7, 5 * 2 + 7 * 2)
+    assert rows.schema.names == RAW_TRIPS.names

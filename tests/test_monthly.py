@@ -192,3 +192,19 @@ def test_first_failure_of_parallel_jobs_is_raised():
     with pytest.raises(gates.GateFailed):
         monthly.side_by_side(lambda: ran.append(1), fail, lambda: ran.append(2))
     assert sorted(ran) == [1, 2]
+
+
+def test_months_outside_the_calendar_are_refused_before_loading(warehouse, landing):
+    with pytest.raises(ValueError, match="outside the calendar"):
+        monthly.backfill(warehouse, landing, ["2024-01", "2024-04"], fx.EVENT_PARAMS, **OPTIONS)
+    with pytest.raises(ValueError, match="outside the calendar"):
+        monthly.run_month(warehouse, landing, "2023-12", fx.EVENT_PARAMS, **OPTIONS)
+    assert warehouse.read("yellow_tripdata").isEmpty()
+
+
+def test_zones_are_loaded_once(spark, warehouse, landing):
+    monthly.run_month(warehouse, landing, "2024-01", fx.EVENT_PARAMS, **OPTIONS)
+    zones = _content(warehouse, "taxi_zone_lookup")
+    warehouse.delete_path(f"{landing}/taxi_zone_lookup.csv")
+    monthly.run_month(warehouse, landing, "2024-02", fx.EVENT_PARAMS, **OPTIONS)
+    assert _content(warehouse, "taxi_zone_lookup") == zones

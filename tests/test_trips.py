@@ -13,7 +13,7 @@ from tripmill.contracts import (
 from tripmill.operators.rules import flag_trips
 from tripmill.operators.staging import stage_trips, stage_zones
 from tripmill.operators.trips import (
-    build_fact, enrich_trips, keep_first_copy, repeated_keys, valid_trips,
+    build_fact, enrich_trips, keep_first_copy,
 )
 
 PARAMS = PipelineParams()
@@ -82,21 +82,26 @@ def test_one_trip_copied_thousands_of_times(spark, staged):
     assert [r.passenger_count for r in kept] == [0]
 
 
-def test_knowing_the_repeated_keys_gives_the_same_rows(spark, staged):
-    flagged = flag_trips(stage_trips(fx.trips_from_events(spark, SF)), fx.EVENT_PARAMS)
-    edge = flag_trips(
+def test_a_code_beyond_32_bits_is_null(spark):
+    raw = dict.fromkeys(RAW_TRIPS.names)
+    raw |= {"_source_file": "yellow_tripdata_2025-03.parquet", "pulocationid": 5_000_000_000, "dolocationid": 7}
+    row = stage_trips(spark.createDataFrame([tuple(raw.values())], RAW_TRIPS)).first()
+    assert row.pickup_zone_key is None and row.dropoff_zone_key == 7
+
+
+def test_as_many_rows_as_keys(staged):
+    """Copies and keys agree on amounts beyond the tenth decimal, on zeros, NULLs and what no decimal holds."""
+    rows = flag_trips(
         staged(
-            {"vendor_key": None, "passenger_count": 1}, {"vendor_key": None, "passenger_count": 2},
-            {"fare_amount": 0.0, "passenger_count": 4}, {"fare_amount": -0.0, "passenger_count": 3},
-            {"trip_distance_miles": None}, {"trip_distance_miles": None, "fare_amount": None},
+            {"trip_distance_miles": 0.1 + 0.2}, {"trip_distance_miles": 0.3},
+            {"fare_amount": 5.0}, {"fare_amount": 5.0 + 1e-12}, {"fare_amount": 5.0 + 1e-6},
+            {"vendor_key": None, "fare_amount": 0.0}, {"vendor_key": None, "fare_amount": -0.0},
+            {"total_amount": 1e25}, {"total_amount": 1e25}, {"total_amount": 2e25},
         ),
         PARAMS,
     )
-    for rows, repeated_count in ((flagged, 44), (edge, 2)):
-        repeated = repeated_keys(valid_trips(rows))
-        assert repeated.count() == repeated_count
-        plain, spared = enrich_trips(rows), enrich_trips(rows, repeated)
-        assert sorted(map(str, plain.collect())) == sorted(map(str, spared.collect()))
+    kept = enrich_trips(rows).collect()
+    assert len(kept) == len({r.trip_sk for r in kept}) == 6
 
 
 def test_derived_measures(staged):

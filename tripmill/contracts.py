@@ -188,9 +188,9 @@ FACT_TRIPS = _schema(
     ("loaded_at", _TS),
 )
 
-# One trip is one combination of these columns. The pickup time leads because
-# sorting compares the first column first, and it is the most selective one.
+# One trip is one combination of these columns, in this order wherever they are compared or hashed.
 BUSINESS_KEY = [
+    "vendor_key",
     "pickup_at",
     "dropoff_at",
     "pickup_zone_key",
@@ -198,7 +198,6 @@ BUSINESS_KEY = [
     "trip_distance_miles",
     "fare_amount",
     "total_amount",
-    "vendor_key",
 ]
 
 
@@ -229,5 +228,14 @@ def month_start(month: str) -> date:
     return date.fromisoformat(f"{check_month(month)}-01")
 
 
+def check_in_calendar(month: str, params: PipelineParams) -> str:
+    """Return ``month`` if the run's calendar covers it, else raise: its trips would join no day."""
+    if not params.start_month <= month_start(month) < params.end_month:
+        raise ValueError(
+            f"month {month} is outside the calendar from {params.start_month} to before {params.end_month}"
+        )
+    return month
+
+
 def trip_file_name(month: str) -> str:
     return TRIP_FILE_NAME.format(month=check_month(month))

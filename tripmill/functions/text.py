@@ -1,24 +1,31 @@
-"""Canonical text of a trip's business key."""
+"""Canonical values and text of a trip's business key."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Order of the parts in the hashed text.
-_PARTS = [
-    "vendor_key",
-    "pickup_at",
-    "dropoff_at",
-    "pickup_zone_key",
-    "dropoff_zone_key",
-    "trip_distance_miles",
-    "fare_amount",
-    "total_amount",
-]
+from tripmill.contracts import BUSINESS_KEY
+
 _DECIMALS = {"trip_distance_miles", "fare_amount", "total_amount"}
 
 
+def key_values() -> list[Column]:
+    """What copies have in common: amounts count to ten decimals, as in the hashed text.
+
+    A value that a decimal cannot hold is compared as it is.
+    """
+    values = []
+    for name in BUSINESS_KEY:
+        col = F.col(name)
+        if name in _DECIMALS:
+            fixed = col.try_cast("decimal(28,10)")
+            values += [fixed, F.when(fixed.isNull(), col)]
+        else:
+            values.append(col)
+    return values
+
+
 def _text(name: str) -> Column:
     col = F.col(name)
     if name in _DECIMALS:
@@ -30,4 +37,4 @@ def _text(name: str) -> Column:
 def trip_key() -> Column:
     """MD5 over the business key; amounts in a fixed number of decimals so that
     the text does not depend on how an engine prints doubles."""
-    return F.md5(F.concat_ws("|", *[_text(name) for name in _PARTS]))
+    return F.md5(F.concat_ws("|", *[_text(name) for name in BUSINESS_KEY]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.contracts import CARD, CASH, OUTLIER_TOTAL, UNCOLLECTED_PAYMENTS
@@ -75,10 +75,18 @@ def top_zone_hours(
         .orderBy(*ranking)
         .limit(k)
     )
-    medians = exact_medians(
-        trips.join(zones, "pickup_zone_key"), group, {"median_fare": F.col("fare_amount")}, digits=2
+    # The cells are known now: only their trips are ranked, under a number instead of names.
+    cells = busiest.withColumn("cell", F.row_number().over(Window.orderBy(*ranking)))
+    zone_of = zones.select("pickup_zone_key", F.col("zone").alias("_zone"), F.col("borough").alias("_borough"))
+    in_cells = cells.select("zone", "borough", "pickup_hour", "cell").join(
+        zone_of,
+        F.col("zone").eqNullSafe(F.col("_zone")) & F.col("borough").eqNullSafe(F.col("_borough")),
+    ).select("pickup_zone_key", "pickup_hour", "cell")
+    ranked = trips.select("pickup_zone_key", "pickup_hour", "fare_amount").join(
+        in_cells, ["pickup_zone_key", "pickup_hour"]
     )
-    return join_on_group(busiest, medians, group, "left").orderBy(*ranking)
+    medians = exact_medians(ranked, ["cell"], {"median_fare": F.col("fare_amount")}, digits=2)
+    return cells.join(medians, "cell", "left").drop("cell").orderBy(*ranking)
 
 
 def _cell_trips(fact: DataFrame, dim_zone: DataFrame, zone_name: str, hour: int) -> DataFrame:
@@ -184,13 +192,16 @@ def medians_by_payment(
     fact: DataFrame, dim_payment: DataFrame, max_total: float = OUTLIER_TOTAL
 ) -> DataFrame:
     """Median distance, fare and price per mile by payment type."""
+    # Codes that share a label count as the smallest of them; labels join at the end.
+    smallest = F.min("payment_type_key").over(Window.partitionBy("payment_type_label"))
+    codes = dim_payment.select("payment_type_key", "payment_type_label", smallest.alias("code"))
     trips = (
         fact.where(F.col("total_amount") <= max_total)
-        .join(dim_payment, "payment_type_key")
-        .select("payment_type_label", "trip_distance_miles", "fare_amount")
+        .join(codes.select("payment_type_key", "code"), "payment_type_key")
+        .select("code", "trip_distance_miles", "fare_amount")
     )
     fare, distance = F.col("fare_amount"), F.col("trip_distance_miles")
-    means = trips.groupBy("payment_type_label").agg(
+    means = trips.groupBy("code").agg(
         _n().alias("nb_trips"), round_to(F.avg(fare), 2).alias("avg_fare")
     )
     names = {
@@ -198,9 +209,12 @@ def medians_by_payment(
         "median_fare": fare,
         "median_price_per_mile": ratio(fare, distance),
     }
-    medians = exact_medians(trips, ["payment_type_label"], names, digits=2)
-    both = join_on_group(means, medians, ["payment_type_label"], "left")
-    return both.orderBy(F.desc("nb_trips"), "payment_type_label")
+    medians = exact_medians(trips, ["code"], names, digits=2)
+    labels = codes.where("payment_type_key = code").select("code", "payment_type_label")
+    both = join_on_group(means, medians, ["code"], "left").join(labels, "code").drop("code")
+    return both.select("payment_type_label", *[c for c in both.columns if c != "payment_type_label"]).orderBy(
+        F.desc("nb_trips"), "payment_type_label"
+    )
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -56,15 +56,27 @@ def exact_medians(
     )
     group = [*keys, "_m"]
     bins = counted.groupBy(*group, "_bin").agg(F.sum("_n").alias("_in_bin"))
-    by_bin = Window.partitionBy(*group).orderBy("_bin")
-    whole = by_bin.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    running = by_bin.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A few thousand doublings at most are ordered per group, then the bins of the one or two
+    # doublings that hold the middle.
+    doublings = bins.withColumn("_wide", F.floor(F.col("_bin") / _BINS_PER_DOUBLING))
+    by_doubling = Window.partitionBy(*group).orderBy("_wide")
+    whole = by_doubling.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     size = F.col("_size")
-    middle_bins = (
-        bins.withColumn("_size", F.sum("_in_bin").over(whole))
-        .withColumn("_upto", F.sum("_in_bin").over(running))
+    middle_doublings = (
+        doublings.groupBy(*group, "_wide").agg(F.sum("_in_bin").alias("_in_wide"))
+        .withColumn("_size", F.sum("_in_wide").over(whole))
+        .withColumn("_upto", F.sum("_in_wide").over(by_doubling.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .withColumn("_low", F.floor((size + 1) / 2))
         .withColumn("_high", F.floor(size / 2) + 1)
+        .withColumn("_below", F.col("_upto") - F.col("_in_wide"))
+        .where("_upto >= _low AND _below < _high")
+        .select(*group, "_wide", "_below", "_low", "_high")
+    )
+    by_bin = Window.partitionBy(*group, "_wide").orderBy("_bin")
+    running = by_bin.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    middle_bins = (
+        join_on_group(doublings, middle_doublings, [*group, "_wide"], "inner")
+        .withColumn("_upto", F.col("_below") + F.sum("_in_bin").over(running))
         .withColumn("_before", F.col("_upto") - F.col("_in_bin"))
         .where("_upto >= _low AND _before < _high")
         .select(*group, "_bin", "_before", "_low", "_high")

@@ -12,7 +12,8 @@ from tripmill.functions import file_month
 
 
 def _int(raw: str) -> Column:
-    return F.col(raw).cast("int")
+    """A code beyond 32 bits is none: it becomes NULL instead of stopping the month."""
+    return F.col(raw).try_cast("int")
 
 
 def _amount(raw: str) -> Column:

@@ -2,53 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.contracts import BUSINESS_KEY, CARD, ENRICHED_TRIPS, FACT_TRIPS, VENDOR_WITH_FEES_IN_EXTRA
-from tripmill.functions import date_key, iso_weekday, ratio, round_to, trip_key
+from tripmill.functions import date_key, iso_weekday, key_values, ratio, round_to, trip_key
 
 
-_KEY_HASH = "_key_hash"
-
-
-def _key_hash() -> Column:
-    # Adding zero makes the two floating-point zeros alike, as grouping does.
-    amounts = {"trip_distance_miles", "fare_amount", "total_amount"}
-    return F.xxhash64(*[F.col(c) + 0.0 if c in amounts else F.col(c) for c in BUSINESS_KEY])
-
-
-def repeated_keys(trips: DataFrame) -> DataFrame:
-    """Hashes of the business keys found more than once, plus any hash collisions.
-
-    Eight bytes per trip are shuffled, counted on the map side first.
-    """
-    per_hash = trips.groupBy(_key_hash().alias(_KEY_HASH)).agg(F.count(F.lit(1)).alias("copies"))
-    return per_hash.where("copies > 1").select(_KEY_HASH)
-
-
-def keep_first_copy(trips: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def keep_first_copy(trips: DataFrame) -> DataFrame:
     """One row per business key: the earliest loaded copy.
 
-    With ``repeated`` (see ``repeated_keys``) only trips that may have a copy are
-    compared; all others pass without being shuffled or sorted.
-    """
-    if repeated is None:
-        return _first_copies(trips)
-    hashed = trips.withColumn(_KEY_HASH, _key_hash())
-    single = hashed.join(repeated, _KEY_HASH, "left_anti").drop(_KEY_HASH)
-    copied = hashed.join(repeated, _KEY_HASH, "left_semi").drop(_KEY_HASH)
-    return single.unionByName(_first_copies(copied))
-
-
-def _first_copies(trips: DataFrame) -> DataFrame:
-    """Copies loaded together are ordered by their remaining columns, so the choice
+    Copies loaded together are ordered by their remaining columns, so the choice
     is repeatable. Filtering on row number 1 lets Spark drop all but one copy per
     key in each map task, before the shuffle: a key with a third of all rows then
     sends one row per task.
     """
     tie_breakers = [c for c in trips.columns if c not in BUSINESS_KEY and c != "loaded_at"]
-    first = Window.partitionBy(*BUSINESS_KEY).orderBy("loaded_at", *tie_breakers)
+    # Amounts that differ beyond the tenth decimal make one key; the smallest comes first.
+    first = Window.partitionBy(*key_values()).orderBy("loaded_at", *tie_breakers, *BUSINESS_KEY)
     return trips.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
 
 
@@ -56,9 +27,9 @@ def valid_trips(flagged: DataFrame) -> DataFrame:
     return flagged.where(F.col("rejection_reason").isNull())
 
 
-def enrich_trips(flagged: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def enrich_trips(flagged: DataFrame) -> DataFrame:
     """Valid distinct trips with their key and derived measures."""
-    distinct = keep_first_copy(valid_trips(flagged).drop("rejection_reason"), repeated)
+    distinct = keep_first_copy(valid_trips(flagged).drop("rejection_reason"))
     day = F.col("pickup_at").cast("date")
     minutes, fare = F.col("trip_duration_min"), F.col("fare_amount")
     speed = ratio(F.col("trip_distance_miles"), minutes) * 60

@@ -7,17 +7,14 @@ chain of common table expressions ending in one SELECT.
 from __future__ import annotations
 
 from tripmill import registry as rg
-from tripmill.contracts import PAYMENT_TYPES, RATE_CODES, VENDORS
+from tripmill.contracts import BUSINESS_KEY, PAYMENT_TYPES, RATE_CODES, VENDORS
 
 _AMOUNTS = [
     "fare_amount", "extra_amount", "mta_tax_amount", "tip_amount", "tolls_amount",
     "improvement_surcharge_amount", "congestion_surcharge_amount", "airport_fee_amount",
     "cbd_congestion_fee_amount", "total_amount",
 ]
-_KEY = [
-    "vendor_key", "pickup_at", "dropoff_at", "pickup_zone_key", "dropoff_zone_key",
-    "trip_distance_miles", "fare_amount", "total_amount",
-]
+_KEY = BUSINESS_KEY
 
 
 def _r(expr: str, digits: int) -> str:
@@ -169,21 +166,26 @@ _REST = [
     "source_file", "source_file_month", "rate_code_key", "payment_type_key", "passenger_count",
     "is_store_and_forward", *[a for a in _AMOUNTS if a not in _KEY],
 ]
+
+
+def _key_value(column: str) -> str:
+    decimal = column in ("trip_distance_miles", "fare_amount", "total_amount")
+    return f"cast({column} as decimal(28,10))" if decimal else column
+
+
 _DISTINCT = f"""
 first_copies as (
     select * exclude (copy, rejection_reason) from (
         select *, row_number() over (
-            partition by {', '.join(_KEY)}
-            order by loaded_at, {', '.join(f'{c} nulls first' for c in _REST)}) as copy
+            partition by {', '.join(_key_value(c) for c in _KEY)}
+            order by loaded_at, {', '.join(f'{c} nulls first' for c in [*_REST, *_KEY])}) as copy
         from flagged where rejection_reason is null
     ) where copy = 1
 )"""
 
 
 def _key_text(column: str) -> str:
-    if column in ("trip_distance_miles", "fare_amount", "total_amount"):
-        column = f"cast({column} as decimal(28,10))"
-    return f"coalesce(cast({column} as varchar), '')"
+    return f"coalesce(cast({_key_value(column)} as varchar), '')"
 
 
 _ENRICHED = f"""
@@ -230,7 +232,6 @@ zones as (
     from nation join region on r_regionkey = n_regionkey
 )"""
 _PAYMENTS = f"payments as (select * from {_values(PAYMENT_TYPES, 'payment_type_key', 'payment_type_label')})"
-_KNOWN_PAYMENTS = "known_payments as (select * from payments where payment_type_key <> 6)"
 
 
 def _calendar(first: str, end: str) -> str:
@@ -267,6 +268,26 @@ def _e(upto: str) -> list[str]:
     return _layers(_EVENT_RAW, rg.fx.EVENT_PARAMS, upto)
 
 
+def _run_raw(published_only: bool) -> str:
+    """Loaded rows of the published runs: January's, moved; those of a month that fails if asked for."""
+    rows = []
+    for month, (days, passes) in rg.RUN_MONTHS.items():
+        if published_only and not passes:
+            continue
+        distance = "trip_distance" if passes else "case when passenger_count > 3 then trip_distance else -1 end"
+        rows.append(
+            f"select * replace (tpep_pickup_datetime + interval {days} day as tpep_pickup_datetime,"
+            f" tpep_dropoff_datetime + interval {days} day as tpep_dropoff_datetime,"
+            f" {distance} as trip_distance, 'yellow_tripdata_{month}.parquet' as _source_file)"
+            " from one_raw where _source_file = 'yellow_tripdata_2024-01.parquet'"
+        )
+    return _EVENT_RAW.replace("\nraw as (", "\none_raw as (") + f",\nraw as ({' union all '.join(rows)})"
+
+
+def _m(upto: str, published_only: bool = True) -> list[str]:
+    return _layers(_run_raw(published_only), rg.fx.EVENT_PARAMS, upto)
+
+
 def _l(upto: str, params=None) -> list[str]:
     return _layers(_LINE_RAW, params or rg.fx.LINEITEM_PARAMS, upto)
 
@@ -290,7 +311,7 @@ select full_date, day_name, c.is_weekend, payment_type_label, count(*) as nb_tri
        {_r('avg(total_amount)', 2)} as avg_revenue_per_trip,
        {_r('sum(trip_distance_miles)', 1)} as total_distance_miles
 from fact f join calendar c on c.date_key = f.pickup_date_key
-left join known_payments p using (payment_type_key)
+left join payments p using (payment_type_key)
 group by all"""
 
 _DEMAND = f"""
@@ -441,14 +462,12 @@ def oracle_sql() -> dict[str, str]:
         "enriched_known_copies_volume": _sql(*_l("enriched"), "select * from enriched"),
         "fact_trips": _sql(*_e("fact"), "select * from fact"),
         "mart_daily_revenue": _sql(
-            *_e("fact"),
-            _FILE_SPAN.replace("\n)", " where day < timestamp '2024-01-21'\n)"),
-            _PAYMENTS, _KNOWN_PAYMENTS, _REVENUE,
+            *_e("fact"), _FILE_SPAN, _PAYMENTS, _REVENUE,
         ),
         "mart_daily_revenue_volume": _sql(
             *_l("fact"),
             _calendar("timestamp '1995-01-01'", "timestamp '2002-01-01'"),
-            _PAYMENTS, _KNOWN_PAYMENTS, _REVENUE,
+            _PAYMENTS, _REVENUE,
         ),
         "mart_zone_hourly_demand": _sql(*_e("fact"), _ZONES, _DEMAND),
         "mart_zone_hourly_demand_volume": _sql(*_l("fact"), _ZONES, _DEMAND),
@@ -563,5 +582,18 @@ def oracle_sql() -> dict[str, str]:
         "csv_zones": "select n_nationkey as zone_key, n_name || ', ' || r_name as zone_name,"
         " r_name as borough, 'Boro Zone' as service_zone, 'taxi_zone_lookup.csv' as source_file,"
         " timestamp '2024-03-01' as loaded_at from nation join region on r_regionkey = n_regionkey",
+        "load_parts": _sql(
+            *_e("staged"),
+            "select * replace (timestamp '2024-03-01' as loaded_at,"
+            f" case when payment_type_key <= {rg.LAST_OLDER_PAYMENT} then 0 else cbd_congestion_fee_amount end"
+            " as cbd_congestion_fee_amount)"
+            " from staged where source_file = 'yellow_tripdata_2024-01.parquet'",
+        ),
+        "monthly_fact": _sql(*_m("fact"), "select * from fact"),
+        "monthly_daily_revenue": _sql(
+            *_m("fact"), _calendar("timestamp '2024-01-01'", "timestamp '2024-04-01'"), _PAYMENTS, _REVENUE
+        ),
+        "monthly_zone_demand": _sql(*_m("fact"), _ZONES, _DEMAND),
+        "monthly_quality": _sql(*_m("flagged", published_only=False), _QUALITY),
         "monthly_run": _sql(*_e("fact"), "select * from fact"),
     }

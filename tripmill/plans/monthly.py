@@ -9,19 +9,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.contracts import PipelineParams, check_month, month_start, trip_file_name
+from tripmill.contracts import PipelineParams, check_in_calendar, check_month, month_start, trip_file_name
 from tripmill.operators import dimensions, gates, marts
 from tripmill.operators.rules import flag_trips
 from tripmill.operators.staging import stage_trips, stage_zones
-from tripmill.operators.trips import build_fact, enrich_trips, repeated_keys, valid_trips
+from tripmill.operators.trips import build_fact, enrich_trips
 from tripmill.plans.warehouse import Warehouse
 from tripmill.streaming.arrivals import ingest_month, ingest_zones
 
 
-# Repeated keys are eight bytes each: at most some 8 MB, below Spark's own limit.
-MAX_SENT_KEYS = 1_000_000
-
-
 def side_by_side(*jobs: Callable[[], None]) -> None:
     """Run independent Spark jobs together; raise the first failure once all ended."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
@@ -48,24 +44,13 @@ def publish_staging(warehouse: Warehouse) -> None:
     )
 
 
-def _few_repeated_keys(warehouse: Warehouse, month: str, flagged: DataFrame) -> DataFrame | None:
-    """The month's repeated keys if they are few enough to send to every task.
-
-    Copies are rare, so knowing them first spares the month a shuffle and two sorts
-    of whole rows. With more of them, all rows are compared instead.
-    """
-    keys = warehouse.work_table(f"repeated_keys/{month}", repeated_keys(valid_trips(flagged)))
-    return keys if keys.count() <= MAX_SENT_KEYS else None
-
-
 def publish_intermediate(warehouse: Warehouse, month: str, params: PipelineParams) -> None:
     """Label the month's trips, then keep, key and enrich the valid ones."""
     day = month_start(month)
     staged = stage_trips(warehouse.read("yellow_tripdata"), day)
     warehouse.replace_partition("int_trips__flagged", day, flag_trips(staged, params))
     labelled = _of_month(warehouse.read("int_trips__flagged"), month)
-    repeated = _few_repeated_keys(warehouse, month, labelled)
-    warehouse.replace_partition("int_trips__enriched", day, enrich_trips(labelled, repeated))
+    warehouse.replace_partition("int_trips__enriched", day, enrich_trips(labelled))
     # Counted here, not with the marts: a month stopped by a gate is reported too,
     # as soon as a later run publishes.
     counts = marts.status_counts(labelled)
@@ -130,9 +115,11 @@ def run_month(
 ) -> None:
     """Load, label, enrich, check and publish one month. A failed gate raises
     before any mart is touched; running the month again repairs any partial write."""
-    check_month(month)
+    check_in_calendar(month, params)
     warehouse.create()
-    ingest_zones(warehouse, landing, loaded_at)
+    if warehouse.read("taxi_zone_lookup").isEmpty():
+        # The zone list is loaded once; later months need not bring it.
+        ingest_zones(warehouse, landing, loaded_at)
     ingest_month(warehouse, landing, month, loaded_at)
     gates.run_gate(gates.month_is_loaded(warehouse.read("yellow_tripdata"), trip_file_name(month)))
     publish_staging(warehouse)
@@ -148,9 +135,12 @@ def backfill(
     params: PipelineParams = PipelineParams(),
     **options,
 ) -> list[str]:
-    """Run months one at a time, in order; the first failed gate stops the rest."""
+    """Run months one at a time, in order; the first failed gate stops the rest.
+
+    Nothing is loaded if the calendar misses one of them.
+    """
     done = []
-    for month in sorted(check_month(m) for m in months):
+    for month in [check_in_calendar(m, params) for m in sorted(check_month(m) for m in months)]:
         run_month(warehouse, landing, month, params, **options)
         done.append(month)
     return done

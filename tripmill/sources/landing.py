@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,16 +29,45 @@ def _to_contract(name: str, source: T.DataType | None, target: T.DataType) -> Co
     return column.cast(target)
 
 
+def _parts(spark: SparkSession, path: str) -> list[str]:
+    """The files below a path, listed by Spark; their content is not read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    return sorted(row["path"] for row in listed.collect())
+
+
+def _by_schema(spark: SparkSession, parts: list[str]) -> list[DataFrame]:
+    """One scan for all parts whose own schemas are equal."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        schemas = list(pool.map(lambda part: spark.read.parquet(part).schema, parts))
+    alike: dict[str, list[str]] = {}
+    for part, schema in zip(parts, schemas):
+        alike.setdefault(schema.json(), []).append(part)
+    return [spark.read.parquet(*group) for group in alike.values()]
+
+
 def read_trip_file(
     spark: SparkSession, path: str, file_name: str, loaded_at: datetime | None = None
 ) -> DataFrame:
     """One month's file (or folder of parts) in the shape of the loaded trips.
 
-    The file is read with its own schema, so a column may change type between
-    months. Columns are found by name regardless of case; missing ones are NULL,
-    unknown ones are left out.
+    Every part is read with its own schema, so a column may come, go or change type between
+    months and between the parts of one. Columns are found by name regardless of case;
+    missing ones are NULL, unknown ones are left out.
     """
-    trips = spark.read.parquet(path)
+    scans = _by_schema(spark, _parts(spark, path))
+    if not scans:
+        raise FileNotFoundError(f"{file_name} holds no files")
+    stamp = ntz(loaded_at or utc_now())
+    shaped = [
+        _shaped(trips, file_name).select(
+            "*", stamp.alias("_loaded_at"), F.lit(file_name).alias("_source_file")
+        )
+        for trips in scans
+    ]
+    return reduce(DataFrame.unionByName, shaped).select(RAW_TRIPS.names)
+
+
+def _shaped(trips: DataFrame, file_name: str) -> DataFrame:
     found: dict[str, T.StructField] = {}
     for field in trips.schema.fields:
         if field.name.lower() in found:
@@ -49,11 +80,7 @@ def read_trip_file(
             source.name if source else field.name, source.dataType if source else None, field.dataType
         )
         columns.append(column.alias(field.name))
-    return trips.select(
-        *columns,
-        ntz(loaded_at or utc_now()).alias("_loaded_at"),
-        F.lit(file_name).alias("_source_file"),
-    ).select(RAW_TRIPS.names)
+    return trips.select(*columns)
 
 
 def read_zone_file(spark: SparkSession, path: str, loaded_at: datetime | None = None) -> DataFrame:
