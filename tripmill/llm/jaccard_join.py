@@ -25,12 +25,12 @@ gives an empty result; other columns are ignored; texts may be of any length.
 
 from __future__ import annotations
 
-import uuid
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,10 +133,11 @@ def _shards(docs: DataFrame, parts: int, ngram: int) -> DataFrame:
 
     def run(batches):
         held: dict[bytes, np.ndarray] = {}
-        size = 0
+        size, task, done = 0, TaskContext.get().partitionId(), 0
 
         def flush():
-            shard = uuid.uuid4().int >> 65
+            # The same number if the task runs again: what others have read stays valid.
+            shard = task << 32 | done
             digests, sets = list(held), list(held.values())
             lengths = np.array([len(s) for s in sets])
             keys = np.concatenate(sets)
@@ -165,7 +166,7 @@ def _shards(docs: DataFrame, parts: int, ngram: int) -> DataFrame:
                 size += len(tokens)
                 if size >= SHARD_TOKENS or len(held) == 65_000:
                     yield from flush()
-                    size = 0
+                    size, done = 0, done + 1
         if held:
             yield from flush()
 

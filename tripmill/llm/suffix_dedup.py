@@ -30,6 +30,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -202,13 +203,13 @@ def shard_table(docs: DataFrame) -> tuple[DataFrame, int, int]:
     def run(batches):
         ids: list[int] = []
         held: list[bytes] = []
-        size = 0
+        size, task, done = 0, TaskContext.get().partitionId(), 0
 
         def row():
             data = b"".join(held)
             ends = np.cumsum([len(t) for t in held], dtype=np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().int >> 65], pa.int64())]
+                [pa.array([task << 32 | done], pa.int64())]  # the same if the task runs again
                 + [pa.array([b], pa.binary()) for b in (np.array(ids, np.int64).tobytes(), ends.tobytes(), data)],
                 names=["shard", "ids", "ends", "data"],
             )
@@ -220,7 +221,7 @@ def shard_table(docs: DataFrame) -> tuple[DataFrame, int, int]:
                 size += len(held[-1])
                 if size >= SHARD_BYTES or len(ids) >= 100_000:
                     yield row()
-                    ids, held, size = [], [], 0
+                    ids, held, size, done = [], [], 0, done + 1
         if ids:
             yield row()
 
