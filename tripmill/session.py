@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,7 +32,8 @@ def build_session(app_name: str = "tripmill", master: str | None = None, **conf:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Only a local master may fall back to a temporary folder of this machine, which goes when
+    the program ends; what the shared folder holds is for the cluster to expire.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -39,4 +42,6 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         return f"{shared.rstrip('/')}/tripmill/{label}-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix=f"tripmill-{label}-")
+    folder = tempfile.mkdtemp(prefix=f"tripmill-{label}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
