@@ -37,14 +37,23 @@ def words_of(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, "[\\x20\\x09-\\x0D]+"))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often and in whichever lambdas it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def shingles_of(words: Column, size: int = SHINGLE) -> Column:
     """Distinct shingles in their places; none of fewer words than ``size``."""
-    last = F.size(words) - size
-    all_of = F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda i: F.concat_ws(" ", F.slice(words, i + 1, F.lit(size))),
-    )
-    return F.when(last >= 0, F.array_distinct(all_of)).otherwise(F.array().cast("array<string>"))
+
+    def distinct(known: Column) -> Column:
+        last = F.size(known) - size
+        all_of = F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+            lambda i: F.concat_ws(" ", F.slice(known, i + 1, F.lit(size))),
+        )
+        return F.when(last >= 0, F.array_distinct(all_of)).otherwise(F.array().cast("array<string>"))
+
+    return once(words, distinct)
 
 
 def _hash(shingle: Column) -> Column:
@@ -121,15 +130,19 @@ def searched(docs: DataFrame, benchmark: DataFrame, how: str) -> DataFrame:
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("row_hash")).join(
         near, F.col("row.doc_id").eqNullSafe(F.col("near_id")) & (F.col("row_hash") == F.col("near_hash")), how
     )
-    own = shingles_of(words_of(F.col("row.text")))
-    judged = F.transform(
-        "near",
-        lambda p: F.struct(
-            p["item_id"].alias("item_id"), p["n"].alias("n_item"), p["missing"].alias("missing"),
-            F.size(F.array_intersect(p["shingles"], own)).alias("n_shared"),
-        ),
-    )
-    kept = F.filter(judged, lambda p: p["n_shared"] >= p["n_item"] - p["missing"])
+
+    def judged(own: Column) -> Column:
+        return F.transform(
+            "near",
+            lambda p: F.struct(
+                p["item_id"].alias("item_id"), p["n"].alias("n_item"), p["missing"].alias("missing"),
+                F.size(F.array_intersect(p["shingles"], own)).alias("n_shared"),
+            ),
+        )
+
+    # Only documents with candidates are cut into shingles again.
+    shared = F.when(F.col("near").isNotNull(), once(shingles_of(words_of(F.col("row.text"))), judged))
+    kept = F.filter(shared, lambda p: p["n_shared"] >= p["n_item"] - p["missing"])
     return rows.select("row", kept.alias("matches"))
 
 
