@@ -163,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCUMENTS, count
         .limit(most)
     )
     # At most ``most`` rows of two numbers; the texts stay where they are.
-    sample = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select(
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select(
         "label", "labelled", F.col("text").cast("string").alias("text")
     )
 
