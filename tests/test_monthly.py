@@ -208,3 +208,22 @@ def test_zones_are_loaded_once(spark, warehouse, landing):
     warehouse.delete_path(f"{landing}/taxi_zone_lookup.csv")
     monthly.run_month(warehouse, landing, "2024-02", fx.EVENT_PARAMS, **OPTIONS)
     assert _content(warehouse, "taxi_zone_lookup") == zones
+
+
+def test_readers_never_miss_a_table_that_is_rebuilt(spark, warehouse):
+    from threading import Event, Thread
+
+    warehouse.rebuild("dim_vendor", spark.range(3).selectExpr("id AS vendor_key"))
+    seen, done = [], Event()
+
+    def read():
+        while not done.is_set():
+            seen.append(spark.catalog.tableExists(warehouse.name("dim_vendor")))
+
+    reader = Thread(target=read)
+    reader.start()
+    for n in (4, 5, 6):
+        warehouse.rebuild("dim_vendor", spark.range(n).selectExpr("id AS vendor_key"))
+    done.set()
+    reader.join()
+    assert seen and all(seen) and warehouse.read("dim_vendor").count() == 6
