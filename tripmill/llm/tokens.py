@@ -9,16 +9,23 @@ from __future__ import annotations
 
 import re
 from itertools import chain, islice
+from struct import pack
 
 import numpy as np
 
 #: The file of the vocabulary; a parameter of every operator that counts or writes tokens.
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 #: Pieces that a worker keeps; beyond, the later half is forgotten.
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 500_000
 #: White space other than a single blank or line feed between words.
 _UNUSUAL = re.compile(r"[^\S \n]")
 _PIECE = re.compile(r"\s*\S+|\s+\Z")
+#: Byte-level vocabularies write a byte as itself if it is printable, else as the next character from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+ALPHABET = {b: chr(b) for b in _PRINTABLE} | {
+    b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _PRINTABLE)
+}
+BLANK = ALPHABET[32]
 #: Pieces that are encoded in one call.
 _AT_ONCE = 2_000
 
@@ -46,6 +53,11 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         #: Ids of pieces of texts with unusual white space.
         self.pieces: dict[str, bytes] = {}
+        #: Marks words of earlier batches by their hash.
+        self.door = bytearray(1 << 24)
+        pre = self.tokenizer.pre_tokenizer
+        self.byte_level = type(pre).__name__ == "ByteLevel" and self.tokenizer.normalizer is None
+        self.marks = dict(zip(".,", self._ids([".", ","])))
         self.feed, blank_a, joined = self._ids(["\n", " a", "\na"])
         # Line feeds are cut off the words that they stand before if they are one token.
         if len(self.feed) != 4 or joined != self.feed + self._ids(["a"])[0] or self._ids(["a\n a"]) != [
@@ -57,34 +69,31 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn_words(self, words: set[str]) -> None:
-        known, plain, other, tails = self.words, [], [], []
-        todo = words - known.keys()
-        for word in list(todo):
-            # A full stop or comma after a letter is a token by itself.
-            if word[-1] in ".," and word[-2:-1].isalpha():
-                tails.append(word)
-                todo.discard(word)
-                if word[:-1] not in known:
-                    todo.add(word[:-1])
-        for word in todo:
-            (other if word[0] == "\n" or _UNUSUAL.search(word) else plain).append(word)
-        feed = np.frombuffer(self.feed, "<u4")[0]
-        for k in range(0, len(plain), _AT_ONCE):
-            some = plain[k : k + _AT_ONCE]
-            found = self.tokenizer.encode_batch_fast([" " + "\n ".join(some)], add_special_tokens=False)
-            ids = np.asarray(found[0].ids, dtype="<u4")
-            start, raw = 0, ids.tobytes()
-            for word, end in zip(some, [*np.flatnonzero(ids == feed).tolist(), len(ids)], strict=True):
-                known[word] = raw[4 * start : 4 * end]
-                start = end + 1
+    def _learn_words(self, words: set[str]) -> list[str]:
+        """Adds the ids of unknown words; those that no earlier batch had are returned."""
+        known, other, new = self.words, [], []
+        tokenize, door, mask = self.tokenizer.model.tokenize, self.door, len(self.door) - 1
+        for word in words - known.keys():
+            slot = hash(word) & mask
+            if not door[slot]:
+                door[slot] = 1
+                new.append(word)
+            head, core, tail, lead = b"", word, b"", BLANK
+            if word[:1] == "\n":
+                head, core, lead = self.feed, word[1:], ""
+            if core[-1:] in self.marks and core[-2:-1].isalpha():
+                tail, core = self.marks[core[-1]], core[:-1]
+            # Letters alone are one piece for the pre-tokenizer: the model can have them as they are.
+            if self.byte_level and core.isalpha():
+                letters = core if core.isascii() else core.encode().decode("latin1").translate(ALPHABET)
+                ids = [t.id for t in tokenize(lead + letters)]
+                known[word] = head + pack(f"<{len(ids)}I", *ids) + tail
+            else:
+                other.append(word)
         for k in range(0, len(other), _AT_ONCE):
             some = other[k : k + _AT_ONCE]
-            known.update(zip(some, self._ids([w if w[0] == "\n" else " " + w for w in some])))
-        if tails:
-            marks = dict(zip(".,", self._ids([".", ","])))
-            for word in tails:
-                known[word] = known[word[:-1]] + marks[word[-1]]
+            known.update(zip(some, self._ids([w if w[:1] == "\n" else " " + w for w in some])))
+        return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
@@ -94,16 +103,19 @@ class Encoder:
                 known.clear()
                 known.update(kept)
         cut = [None if _unusual(t) else ("\n" + t).replace("\n", " \n").split(" ")[1:] for t in texts]
-        self._learn_words(set(chain.from_iterable(c for c in cut if c)))
+        new = self._learn_words(set(chain.from_iterable(c for c in cut if c)))
         get, out = self.words.__getitem__, []
         for text, words in zip(texts, cut):
             if words is not None:
                 out.append(b"".join(map(get, words))[4:])
                 continue
             pieces = _PIECE.findall(text)
-            new = list({p for p in pieces if p not in self.pieces})
-            self.pieces.update(zip(new, self._ids(new)))
+            missing = list({p for p in pieces if p not in self.pieces})
+            self.pieces.update(zip(missing, self._ids(missing)))
             out.append(b"".join(map(self.pieces.__getitem__, pieces)))
+        # Most words never come back: only those met in two batches are kept.
+        for word in new:
+            del self.words[word]
         return out
 
 
