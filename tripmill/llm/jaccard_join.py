@@ -266,7 +266,10 @@ def clusters(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def forest(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
-    """Links that span the components of (n, tokens, counts) sets; places of both ends."""
+    """A star for each component of (n, tokens, counts) sets: places of a member and of the component's root.
+
+    Stars, not the links that were found: chains of those would take the components many rounds.
+    """
     order = sorted(range(len(rows)), key=lambda i: rows[i][0])
     whole = [frozenset(r[1].tolist()) for r in rows]
     first = [[frozenset(prefix(*r, k, percent).tolist()) for k in range(ORDERS)] for r in rows]
@@ -279,7 +282,6 @@ def forest(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
         return i
 
     index: dict[int, dict[int, list[int]]] = {}
-    out = []
     for x in order:
         n, tried = rows[x][0], set()
         for token in first[x][0]:
@@ -296,7 +298,6 @@ def forest(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
                     if any(first[x][k].isdisjoint(first[y][k]) for k in range(1, ORDERS)):
                         continue
                     if links(n, rows[y][0], len(whole[x] & whole[y]), percent):
-                        out.append((x, y))
                         root[find(x)] = find(y)
                         break
         mine = find(x)
@@ -308,7 +309,7 @@ def forest(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
                 members.sort(key=lambda i: rows[i][0])
             members.append(x)
             groups[mine] = members
-    return out
+    return [(i, find(i)) for i in range(len(rows)) if find(i) != i]
 
 
 def linked(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
