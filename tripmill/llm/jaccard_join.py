@@ -83,7 +83,7 @@ def classes(docs: DataFrame, ngram: int = NGRAM) -> DataFrame:
     """doc_id, text_hash, n_shingles and digest of the set (null for an empty one)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
             sets = [token_set(t, ngram) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -16,7 +16,7 @@ import numpy as np
 #: The file of the vocabulary; a parameter of every operator that counts or writes tokens.
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 #: Pieces that a worker keeps; beyond, the later half is forgotten.
-CACHED_PIECES = 500_000
+CACHED_PIECES = 250_000
 #: White space other than a single blank or line feed between words.
 _UNUSUAL = re.compile(r"[^\S \n]")
 _PIECE = re.compile(r"\s*\S+|\s+\Z")

@@ -38,7 +38,7 @@ FOLDS, THRESHOLD = 5, 0.5
 TOXIC_WEIGHT = 2.0
 #: A word is a feature if its counts by label differ by this log-likelihood ratio (p below 10^-6).
 MIN_RATIO = 25.0
-KEPT_WORDS = 600_000
+KEPT_WORDS = 200_000
 #: Identity terms by group; a term is swapped for the next of its group.
 IDENTITY = {
     "gender": "men women",
