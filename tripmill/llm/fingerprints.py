@@ -111,16 +111,13 @@ def _fingerprint(hashes: np.ndarray, deep: np.ndarray) -> Fingerprint:
 class Fingerprinter:
     def __init__(self, lexicon: np.ndarray) -> None:
         self.lexicon, self.deep = lexicon, depths(lexicon)
+        self.by_hash = {h: k for k, h in enumerate(lexicon.tolist())}
         self.places: dict[str, int] = {}
 
     def _place(self, term: str) -> int:
-        place = self.places.get(term)
-        if place is None:
-            value = np.uint64(term_hash(term))
-            at = int(np.searchsorted(self.lexicon, value))
-            place = at if at < len(self.lexicon) and self.lexicon[at] == value else -1
-            if len(self.places) < KEPT_TERMS:
-                self.places[term] = place
+        place = self.by_hash.get(term_hash(term), -1)
+        if len(self.places) < KEPT_TERMS:
+            self.places[term] = place
         return place
 
     def __call__(self, text: str) -> Fingerprint:
