@@ -38,7 +38,7 @@ from tripmill.llm.common import has_columns, read
 from tripmill.session import scratch_dir
 
 #: Production parameters: bytes of a string, of a gram, of a shard; about anchors and bytes in a range.
-LENGTH, GRAM, SHARD_BYTES, RANGE_BYTES = 50, 24, 2 << 20, 4 << 20
+LENGTH, GRAM, SHARD_BYTES, RANGE_BYTES = 50, 24, 1 << 20, 2 << 20
 #: Parallel lanes of Kasai's scan are this many positions long.
 LANE = 16
 _BASE = 0x9E3779B97F4A7C15
@@ -86,10 +86,8 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> np.ndar
 
 def words8(data: np.ndarray) -> np.ndarray:
     """Eight bytes from each position on as a big-endian number; zeros follow the end."""
-    padded = np.r_[data, np.zeros(72, np.uint8)].astype(np.uint64)
-    two = (padded[:-1] << np.uint64(8)) | padded[1:]
-    four = (two[:-2] << np.uint64(16)) | two[2:]
-    return (four[:-4] << np.uint64(32)) | four[4:]
+    padded = np.r_[data, np.zeros(72, np.uint8)]
+    return np.ndarray(len(padded) - 7, ">u8", padded, strides=(1,)).astype(np.uint64)
 
 
 def suffix_array(data: np.ndarray) -> np.ndarray:
@@ -101,6 +99,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     starts = np.flatnonzero(fresh)
     rank = np.empty(n, np.int64)
     rank[order] = np.repeat(starts, np.diff(np.r_[starts, n]))
+    del first
     h = 8
     while True:
         # Only groups of several suffixes are sorted on, each within its own places.
@@ -198,7 +197,7 @@ def shard_table(docs: DataFrame) -> tuple[DataFrame, int, int]:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, ceil(total / (4 * SHARD_BYTES)))
+    buckets = max(1, ceil(total / (8 * SHARD_BYTES)))
 
     def run(batches):
         ids: list[int] = []
@@ -440,7 +439,15 @@ def _judged(table: pa.Table) -> pa.Table:
         at = _spread(base, base + size)  # of each string in data
         position = _spread(first, end)  # of each string in its shard
         owner, from_row = np.repeat(docs, size), np.repeat(of_row, size)
-        keys = rolling(data, LENGTH)[at]
+        # Hashes are made shard by shard: what is held at once stays near the size of the strings.
+        ends = np.cumsum([len(r["data"]) for r in rows])
+        cut = np.searchsorted(at, np.r_[0, ends])
+        keys = np.concatenate(
+            [
+                rolling(data[e - len(r["data"]) : e], LENGTH)[at[a:b] - (e - len(r["data"]))]
+                for r, e, a, b in zip(rows, ends.tolist(), cut, cut[1:])
+            ]
+        )
         runs = []
         bounds = np.searchsorted(from_row, np.arange(len(rows) + 1))
         for a, b in zip(bounds, bounds[1:]):
