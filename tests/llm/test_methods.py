@@ -146,6 +146,35 @@ def test_likeness_follows_what_is_shared():
     assert of("zzz qqq").likeness(of("zzz qqq")) == 1.0
 
 
+def test_near_copies_on_a_third_of_the_rows_are_alike(spark):
+    random.seed(9)
+    common = " ".join(f"shared{i}" for i in range(120))
+    other = lambda: " ".join(f"t{random.randrange(3000)}" for _ in range(120))
+    # Plain copies, and near copies with a word that a few other texts hold too.
+    group = {3 * k: f"{common} t{k}" if k % 2 else common for k in range(150)}
+    docs = spark.createDataFrame([(k, group.get(k) or other()) for k in range(450)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in rows_of(fingerprints.fingerprint_documents(docs))}
+    assert np.mean([got[k]["near_edited"] for k in group]) > 0.15
+
+    def mark(k):
+        raw = got[k]["fingerprint"]
+        return fingerprints.Fingerprint(int(raw[:2], 16), np.frombuffer(bytes.fromhex(raw[2:]), ">u2").reshape(fingerprints.LEVELS, -1))
+
+    assert min(mark(0).likeness(mark(k)) for k in group) > 0.7
+    assert max(got[k]["near_next"] for k in group) < 0.1
+
+
+def test_copies_count_once_in_the_lexicon(spark, monkeypatch):
+    rows = [(k, "copied words") for k in range(50)] + [(k, f"own{k} mid{k % 20}") for k in range(50, 149)] + [(200, None), (201, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for slots in (fingerprints.SLOTS, 64):
+        monkeypatch.setattr(fingerprints, "SLOTS", slots)
+        texts, n = fingerprints.once(docs)
+        assert n == 101 and sorted(r["text"] for r in rows_of(texts)) == sorted({t or "" for _, t in rows})
+    inside, above = fingerprints.lexicon(docs, (0.0, 3.5))
+    assert set(inside.tolist()) == {fingerprints.term_hash(f"mid{k}") for k in range(20)} and not len(above)
+
+
 def test_forest_spans_the_components():
     random.seed(6)
     base = [np.unique(np.array([random.getrandbits(60) for _ in range(80)], np.uint64)) for _ in range(12)]

@@ -1,7 +1,7 @@
 """I-Match fingerprints with randomised lexicons.
 
-Terms (lower-cased, cut at white space) whose inverse document frequency ln(N / df) over the whole
-corpus lies in a band form the lexicon. Each of ``SUBSETS`` random subsets of it, nested by level
+Terms (lower-cased, cut at white space) whose inverse document frequency ln(N / df) over the distinct
+texts of the corpus lies in a band form the lexicon: copies of a text count once. Each of ``SUBSETS`` random subsets of it, nested by level
 (a term stays in a subset on level L with probability 2^-L), gives one hash of the sorted
 distinct terms that a document has in it. The level follows the number of lexicon terms, so that a
 subset holds about one of them, and the two next levels are kept for comparisons with longer documents.
@@ -9,9 +9,11 @@ The likeness of two fingerprints is the share of equal hashes among subsets that
 in both, on the finest level that both need; documents whose numbers of terms differ by more than
 about 8 to 1 have likeness 0.
 
-A document without lexicon terms is fingerprinted from all its terms. At most
-mean distinct terms * e^(upper idf) terms can be in the band, whatever the number of documents:
-this bounds the lexicon, which every task holds.
+A document whose lexicon terms are less than ``SHARE`` of its distinct terms is filled up to that share with its
+rarest other terms: those below the band in order of their hashes, then those above it in order of df. One
+term more or less changes the chosen terms by one or two, so near copies stay alike however common their text
+is. At most mean distinct terms * e^(upper idf) terms can be in the band or above it, whatever the number of
+documents: this bounds what every task holds.
 
 Defined cases: a null text is an empty one; an empty text has a fingerprint without terms, like only
 to equal ones; equal texts have equal fingerprints; rows that share a doc_id follow each other in
@@ -32,13 +34,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import has_columns, read, shuffle_partitions
+from tripmill.llm.common import has_columns, read, shuffle_partitions, written
 
 #: Production parameters: band of ln(N / df), random subsets, levels kept.
 IDF_BAND, SUBSETS, LEVELS = (2.0, 8.0), 48, 3
+#: Least share of a document's distinct terms that its fingerprint is made of.
+SHARE = 0.5
+#: Texts are told apart as repeated or not by this many bits of their hash; repeated ones are then compared whole.
+SLOTS = 1 << 24
 #: Distinct terms that a task counts before it hands the counts on; terms whose hashes a worker keeps.
 COUNTED_TERMS, KEPT_TERMS = 400_000, 600_000
 _ODD = 0x9E3779B97F4A7C15
+_SEEDS = np.array([(k + 1) * _ODD % 2**64 for k in range(SUBSETS)], dtype=np.uint64)
 
 
 def terms(text: str) -> set[str]:
@@ -59,10 +66,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def depths(hashes: np.ndarray) -> np.ndarray:
     """Deepest level on which each subset still has each term: one row per term."""
     out = np.empty((len(hashes), SUBSETS), dtype=np.uint8)
-    for k in range(SUBSETS):
-        seed = np.array((k + 1) * _ODD % 2**64, dtype=np.uint64)
-        unit = (_mix(hashes + seed) >> np.uint64(11)).astype(np.float64) + 0.5
-        out[:, k] = np.minimum(40, np.floor(53 - np.log2(unit))).astype(np.uint8)
+    # Many terms a column at a time; few in one go.
+    width = 1 if len(hashes) > 4096 else SUBSETS
+    for k in range(0, SUBSETS, width):
+        unit = (_mix(hashes[:, None] + _SEEDS[k : k + width]) >> np.uint64(11)).astype(np.float64) + 0.5
+        out[:, k : k + width] = np.minimum(40, np.floor(53 - np.log2(unit))).astype(np.uint8)
     return out
 
 
@@ -109,9 +117,13 @@ def _fingerprint(hashes: np.ndarray, deep: np.ndarray) -> Fingerprint:
 
 
 class Fingerprinter:
-    def __init__(self, lexicon: np.ndarray) -> None:
-        self.lexicon, self.deep = lexicon, depths(lexicon)
-        self.by_hash = {h: k for k, h in enumerate(lexicon.tolist())}
+    """``common``: hashes of the terms above the band, the rarest first."""
+
+    def __init__(self, lexicon: np.ndarray, common: np.ndarray = np.empty(0, np.uint64)) -> None:
+        self.n_lexicon = len(lexicon)
+        self.known = np.concatenate([lexicon, common])
+        self.deep = depths(self.known)
+        self.by_hash = {h: k for k, h in enumerate(self.known.tolist())}
         self.places: dict[str, int] = {}
 
     def _place(self, term: str) -> int:
@@ -128,14 +140,43 @@ class Fingerprinter:
             places = [self._place(t) if p is None else p for t, p in zip(found, places)]
         at = np.array(places, dtype=np.int64)
         at = np.sort(at[at >= 0])
-        if len(at):
-            return _fingerprint(self.lexicon[at], self.deep[at])
-        hashes = np.unique(np.array([term_hash(t) for t in found], dtype=np.uint64))
-        return _fingerprint(hashes, depths(hashes))
+        end = int(np.searchsorted(at, self.n_lexicon))
+        missing = math.ceil(SHARE * len(found)) - end
+        if missing <= 0:
+            return _fingerprint(self.known[at[:end]], self.deep[at[:end]])
+        rare = np.unique(np.array([term_hash(t) for t, p in zip(found, places) if p < 0], dtype=np.uint64))[:missing]
+        at = at[: end + missing - len(rare)]
+        hashes, deep = np.concatenate([self.known[at], rare]), np.concatenate([self.deep[at], depths(rare)])
+        order = np.argsort(hashes)
+        return _fingerprint(hashes[order], deep[order])
+
+
+def once(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``text`` of every distinct text, null as empty, and their number.
+
+    Only texts whose slot holds a repeated one are shuffled.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    slot = F.pmod(F.xxhash64("text"), F.lit(SLOTS))
+    place = F.pmod(slot, F.lit(64)).cast("int")
+    texts = docs.select(text.alias("text"))
+    bit = F.when(F.col("n") > 1, F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place"))).otherwise(F.lit(0).cast("long"))
+    words = (
+        texts.groupBy(F.xxhash64("text").alias("h"), F.floor(slot / 64).alias("word"), place.alias("place"))
+        .agg(F.count("*").alias("n"))
+        .groupBy("word").agg(F.count("*").alias("texts"), F.bit_or(bit).alias("bits"))
+    )
+    words = written(words, "repeated-texts")
+    # At most SLOTS / 64 rows of two numbers.
+    held = F.broadcast(words.where("bits <> 0").select("word", "bits"))
+    placed = texts.withColumn("word", F.floor(slot / 64)).withColumn("place", place).join(held, "word", "left")
+    again = F.coalesce(F.call_function("getbit", F.col("bits"), F.col("place")), F.lit(0)) == 1
+    found = placed.where(~again).select("text").unionByName(placed.where(again).select("text").distinct())
+    return found, words.agg(F.sum("texts")).first()[0] or 0
 
 
-def lexicon(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> np.ndarray:
-    """Sorted hashes of the terms in the band, counted over all documents."""
+def lexicon(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the terms in the band, sorted, and of those above it, the rarest first; over distinct texts."""
 
     def run(batches):
         counts: Counter = Counter()
@@ -154,11 +195,14 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> np.ndarray
         if counts:
             yield rows()
 
-    n_docs = docs.count()
-    low, high = (n_docs / math.exp(i) for i in reversed(band))
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    found = counted.where(F.col("n").between(low, high)).select("term").toArrow()
-    return np.sort(found.column(0).to_numpy().view(np.uint64))
+    texts, n_texts = once(docs)
+    low, high = (n_texts / math.exp(i) for i in reversed(band))
+    counted = texts.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    found = counted.where(F.col("n") >= low).toArrow()
+    hashes, df = found.column(0).to_numpy().view(np.uint64), found.column(1).to_numpy()
+    common = df > high
+    order = np.lexsort((hashes[common], df[common]))
+    return np.sort(hashes[~common]), hashes[common][order]
 
 
 def with_next(docs: DataFrame, ids: str, parts: int) -> DataFrame:
@@ -201,7 +245,7 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = IDF_BAND)
     parts = shuffle_partitions(spark)
 
     def run(batches):
-        of = Fingerprinter(held.value)
+        of = Fingerprinter(*held.value)
         out: list[tuple] = []
         last = None  # bucket, whether closed, doc_id, text, fingerprint
 
