@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tempfile
 import zlib
 
 import numpy as np
@@ -27,6 +28,25 @@ def test_encoder_equals_plain_calls():
     assert one.encode(texts) == plain and one.encode(texts) == plain and one.encode(texts[::-1]) == plain[::-1]
 
 
+def test_special_literals_get_the_ids_of_an_untouched_tokenizer():
+    from tokenizers import AddedToken, Tokenizer
+
+    texts = [
+        "a<|endoftext|>b", "a <|endoftext|> b", "a  <|endoftext|>  b", "<|endoftext|>", "\n<|endoftext|>\n", "a\n<|endoftext|>\nb",
+        "<|endoftext|><|endoftext|>, x", "a\t<|endoftext|> ", "see <|end of|> it", "ends <|r|> here", "xword, b", "plain words",
+    ]
+    plain = Tokenizer.from_file(vocabulary_path())
+    ids = lambda of: [np.array(of.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 65]
+    one = Encoder(vocabulary_path())
+    assert one.encode(texts) == ids(plain) and one.encode(texts) == ids(plain)
+    plain.add_special_tokens(["<|end of|>", AddedToken("<|r|>", rstrip=True), "word,"])
+    with tempfile.NamedTemporaryFile(suffix=".json") as file:
+        plain.save(file.name)
+        other = Encoder(file.name)
+        assert other.encode(texts) == ids(plain) and other.encode(texts) == ids(plain)
+
+
 @pytest.mark.parametrize("width", [1, 7, 16, 17, 31])
 def test_bits_round_trip(width):
     ids = np.random.default_rng(1).integers(0, 1 << width, 1000).astype("<u4")

@@ -2,7 +2,8 @@
 
 The tokenizer's pre-tokenizer never lets a token reach over the start of a run of white space
 that follows other characters. A text is cut there, each distinct piece is encoded by the
-tokenizers library once, and ids of whole texts are joined from them.
+tokenizers library once, and ids of whole texts are joined from them. The ids are those of a plain call
+without special tokens added; the literal of a special token in a text gets that token's id, as there.
 """
 
 from __future__ import annotations
@@ -46,8 +47,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens are ordinary text in a document.
-        self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
         #: Ids of " word" by "word", and of "\nword" by itself.
         self.words: dict[str, bytes] = {}
@@ -56,7 +55,14 @@ class Encoder:
         #: Marks words of earlier batches by their hash.
         self.door = bytearray(1 << 24)
         pre = self.tokenizer.pre_tokenizer
-        self.byte_level = type(pre).__name__ == "ByteLevel" and self.tokenizer.normalizer is None
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        #: Added tokens that reach over white space: a text that holds one is encoded whole.
+        self.across = [t.content for t in added if t.rstrip or any(c.isspace() for c in t.content)]
+        self.byte_level = (
+            type(pre).__name__ == "ByteLevel" and self.tokenizer.normalizer is None
+            # No added token is hidden in letters with a mark.
+            and not any(all(c.isalpha() or c in ".,\n " for c in t.content) for t in added)
+        )
         self.marks = dict(zip(".,", self._ids([".", ","])))
         self.feed, blank_a, joined = self._ids(["\n", " a", "\na"])
         # Line feeds are cut off the words that they stand before if they are one token.
@@ -106,6 +112,9 @@ class Encoder:
         new = self._learn_words(set(chain.from_iterable(c for c in cut if c)))
         get, out = self.words.__getitem__, []
         for text, words in zip(texts, cut):
+            if self.across and any(a in text for a in self.across):
+                out += self._ids([text])
+                continue
             if words is not None:
                 out.append(b"".join(map(get, words))[4:])
                 continue
