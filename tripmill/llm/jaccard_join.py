@@ -14,6 +14,9 @@ partner (prefix filter). Orders put rare tokens first and break ties by a hash o
    ``BLOCK_TOKENS`` tokens are cut into blocks, and every pair of blocks is a task.
 5. Links form components.
 
+``similar_pairs`` gives the join itself: every verified link between distinct sets, from the same clusters and
+blocks. Its rows grow with the square of a group of different sets; copies add none.
+
 Words are runs of bytes other than space and U+0009 to U+000D, A-Z lower-cased. Sets and tokens are compared
 by 128 and 64-bit hashes.
 
@@ -25,6 +28,8 @@ gives an empty result; other columns are ignored; texts may be of any length.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
 from math import ceil
 
 import numpy as np
@@ -312,8 +317,34 @@ def forest(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
     return [(i, find(i)) for i in range(len(rows)) if find(i) != i]
 
 
-def linked(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(a, b) digests: a spanning forest of the links."""
+def all_links(rows: list[tuple], own: list[int], percent: int) -> Iterator[tuple[int, int, int]]:
+    """Places and shared tokens of every linked pair of (n, tokens, counts) sets, each once.
+
+    If the sets are of two blocks, only pairs across them: those inside are found in the block's own task.
+    """
+    across = len(set(own)) > 1
+    whole = [frozenset(r[1].tolist()) for r in rows]
+    first = [[frozenset(prefix(*r, k, percent).tolist()) for k in range(ORDERS)] for r in rows]
+    index: dict[int, list[int]] = {}
+    for x in sorted(range(len(rows)), key=lambda i: rows[i][0]):
+        n, tried = rows[x][0], set()
+        for token in first[x][0]:
+            for y in reversed(index.get(token, ())):  # the largest first; all are smaller than x
+                if rows[y][0] * 100 < percent * n:
+                    break
+                if y in tried or across and own[x] == own[y]:
+                    continue
+                tried.add(y)
+                if any(first[x][k].isdisjoint(first[y][k]) for k in range(1, ORDERS)):
+                    continue
+                shared = len(whole[x] & whole[y])
+                if links(n, rows[y][0], shared, percent):
+                    yield x, y, shared
+            index.setdefault(token, []).append(x)
+
+
+def _blocks(sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """label, i, j and own block of every set of a cluster, once for each pair of blocks."""
     placed = sets.join(labels.withColumnRenamed("node", "digest"), "digest")
     sizes = placed.groupBy("label").agg(F.sum("n").alias("total"), F.count("*").alias("members")).where("members > 1")
     blocks = F.ceil(F.col("total") / BLOCK_TOKENS).cast("int")
@@ -322,13 +353,17 @@ def linked(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda j: F.struct(F.least(j, F.col("own")).alias("i"), F.greatest(j, F.col("own")).alias("j")),
     )
-    dealt = (
+    return (
         placed.join(sizes.select("label", blocks.alias("blocks")), "label")
         .withColumn("own", own)
         .withColumn("pair", F.explode(pairs))
-        .select("label", "pair.i", "pair.j", "digest", "n", "tokens", "counts")
+        .select("label", "pair.i", "pair.j", "own", "digest", "n", "tokens", "counts")
     )
 
+
+def linked(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b) digests: a spanning forest of the links."""
+
     def run(table: pa.Table) -> pa.Table:
         got = table.to_pydict()
         rows = [
@@ -342,7 +377,35 @@ def linked(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
             names=["a", "b"],
         )
 
-    return dealt.groupBy("label", "i", "j").applyInArrow(run, "a binary, b binary")
+    return _blocks(sets, labels).drop("own").groupBy("label", "i", "j").applyInArrow(run, "a binary, b binary")
+
+
+def similar_pairs(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """All links: :func:`classes`, and (a, b, n_shared) with a < b for every link between two digests of them.
+
+    Documents of one digest are linked as well.
+    """
+    has_columns(docs, "doc_id", "text")
+    known = written(classes(docs, ngram), "classes")
+    total = known.agg(F.sum("n_shingles")).first()[0] or 0
+    sets = written(possible_sets(docs, total, ngram, percent), "sets")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = pa.Table.from_batches(batches).to_pydict()
+        digests = got["digest"]
+        rows = [
+            (n, np.frombuffer(t, np.uint64), np.frombuffer(c, np.uint8))
+            for n, t, c in zip(got["n"], got["tokens"], got["counts"])
+        ]
+        found = all_links(rows, got["own"], percent)
+        while some := list(islice(found, 10_000)):
+            pairs = [(*sorted((digests[x], digests[y])), shared) for x, y, shared in some]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*pairs), (pa.binary(), pa.binary(), pa.int64()))], names=["a", "b", "n_shared"]
+            )
+
+    blocks = _blocks(sets, clusters(sets, percent))
+    return known, blocks.groupBy("label", "i", "j").applyInArrow(run, "a binary, b binary, n_shared long")
 
 
 def similar_groups(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
