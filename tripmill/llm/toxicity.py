@@ -153,7 +153,7 @@ def fit(
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCUMENTS, counterfactual: float = COUNTERFACTUAL) -> dict[int, float]:
-    """Weights from at most ``most`` labelled documents outside the held-out fold."""
+    """Weights from at most ``most`` labelled documents outside the held-out fold, one text for each doc_id."""
     has_columns(labels, "doc_id", "toxic")
     chosen = (
         labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1))
@@ -162,9 +162,14 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCUMENTS, count
         .orderBy(F.xxhash64("labelled"), "labelled")
         .limit(most)
     )
-    # At most ``most`` rows of two numbers; the texts stay where they are.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select(
-        "label", "labelled", F.col("text").cast("string").alias("text")
+    # At most ``most`` rows of two numbers. Of rows that share a doc_id, each task sends on the text of the smallest hash.
+    text = F.col("text").cast("string")
+    sample = (
+        docs.select("doc_id", text.alias("text"))
+        .join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+        .groupBy("label", "labelled")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least"))
+        .select("label", "labelled", "least.text")
     )
 
     def run(batches):
