@@ -12,9 +12,12 @@ exact shingles.
 The path is DataFrame functions throughout. Sketches are broadcast only while they have at most
 ``BROADCAST_ROWS`` rows; beyond, Spark joins them by shuffle.
 
+An item of fewer words than a shingle is one shingle of all its words: documents are probed with
+shingles of that size as well, for the sizes that occur among the items. ``ORACLE`` has no such items.
+
 Words are runs of characters other than space and U+0009 to U+000D, lower-cased.
 
-Defined cases: a null text has no words; an item of fewer words than a shingle is found nowhere;
+Defined cases: a null text has no words; an item without words is found nowhere;
 items that share an item_id are searched each and reported by the largest containment; rows that share
 doc_id and text are judged alike, and nulls in doc_id or item_id are values like others; an empty table of documents
 or items gives an empty result; other columns are never looked at.
@@ -22,6 +25,8 @@ or items gives an empty result; other columns are never looked at.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,14 +47,15 @@ def once(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def shingles_of(words: Column, size: int = SHINGLE) -> Column:
+def shingles_of(words: Column, size: int | Column = SHINGLE) -> Column:
     """Distinct shingles in their places; none of fewer words than ``size``."""
+    size = F.lit(size)
 
     def distinct(known: Column) -> Column:
         last = F.size(known) - size
         all_of = F.transform(
             F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-            lambda i: F.concat_ws(" ", F.slice(known, i + 1, F.lit(size))),
+            lambda i: F.concat_ws(" ", F.slice(known, i + 1, size)),
         )
         return F.when(last >= 0, F.array_distinct(all_of)).otherwise(F.array().cast("array<string>"))
 
@@ -61,14 +67,14 @@ def _hash(shingle: Column) -> Column:
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
-    """key, item_id, shingles, n, missing (how many may be absent)."""
+    """key, item_id, size (words of a shingle), shingles, n, missing (how many may be absent)."""
     has_columns(items, "item_id", "text")
     rows = items.select("item_id", F.xxhash64("item_id", "text").alias("item_key"), words_of(F.col("text")).alias("words"))
-    rows = rows.select("item_key", "item_id", shingles_of(F.col("words")).alias("shingles"))
+    rows = rows.withColumn("size", F.least(F.size("words"), F.lit(SHINGLE))).where("size > 0")
+    rows = rows.select("item_key", "item_id", "size", shingles_of(F.col("words"), F.col("size")).alias("shingles"))
     n = F.size("shingles")
     return (
-        rows.where(n > 0)
-        .dropDuplicates(["item_key"])
+        rows.dropDuplicates(["item_key"])
         .withColumn("n", n)
         .withColumn("missing", F.floor(F.round((1 - F.lit(THRESHOLD)) * n, 9)).cast("int"))
     )
@@ -88,18 +94,18 @@ def sketches(items: DataFrame) -> DataFrame:
     )
 
 
-def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, text_hash, item_key of documents that hold enough of an item's sketch."""
-    probes = written(sketches(items), "sketches")
+def candidates(docs: DataFrame, items: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """doc_id, text_hash, item_key of documents that hold enough of the sketch of an item with shingles of ``size``."""
+    probes = written(sketches(items.where(F.col("size") == size)), "sketches")
     if probes.count() <= BROADCAST_ROWS:
         probes = F.broadcast(probes)
     words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
     # Hashes are made and probed row by row inside one generated loop; no row of a shingle is written.
-    places = words.where(F.size("words") >= SHINGLE).select(
-        "doc_id", "text_hash", "words", (F.size("words") - SHINGLE + 1).alias("size"),
-        F.explode(F.sequence(F.lit(0), F.size("words") - SHINGLE)).alias("i"),
+    places = words.where(F.size("words") >= size).select(
+        "doc_id", "text_hash", "words", (F.size("words") - size + 1).alias("size"),
+        F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("i"),
     )
-    shingle = F.concat_ws(" ", *(F.col("words")[F.col("i") + k] for k in range(SHINGLE)))
+    shingle = F.concat_ws(" ", *(F.col("words")[F.col("i") + k] for k in range(size)))
     found = (
         places.select("doc_id", "text_hash", "size", _hash(shingle).alias("h"))
         .join(probes, "h")
@@ -121,7 +127,9 @@ def searched(docs: DataFrame, benchmark: DataFrame, how: str) -> DataFrame:
     """
     has_columns(docs, "doc_id", "text")
     items = written(item_shingles(benchmark), "item-shingles")
-    pairs = candidates(docs.select("doc_id", "text"), items)
+    # One size where all items are long, at most SHINGLE of them.
+    sizes = sorted(r[0] for r in items.select("size").distinct().collect()) or [SHINGLE]
+    pairs = reduce(DataFrame.unionByName, [candidates(docs.select("doc_id", "text"), items, k) for k in sizes])
     near = (
         pairs.join(items, "item_key")
         .groupBy(F.col("doc_id").alias("near_id"), F.col("text_hash").alias("near_hash"))
@@ -141,7 +149,9 @@ def searched(docs: DataFrame, benchmark: DataFrame, how: str) -> DataFrame:
         )
 
     # Only documents with candidates are cut into shingles again.
-    shared = F.when(F.col("near").isNotNull(), once(shingles_of(words_of(F.col("row.text"))), judged))
+    # Shingles of different sizes are never equal.
+    own = once(words_of(F.col("row.text")), lambda words: F.concat(*(shingles_of(words, k) for k in sizes)))
+    shared = F.when(F.col("near").isNotNull(), once(own, judged))
     kept = F.filter(shared, lambda p: p["n_shared"] >= p["n_item"] - p["missing"])
     return rows.select("row", kept.alias("matches"))
 
