@@ -421,9 +421,9 @@ def similar_groups(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT)
 
 
 def one_per_group(docs: DataFrame, ngram: int, percent: int) -> DataFrame:
-    """``docs`` without all documents of a group but that of the smallest doc_id, then text hash.
+    """``docs`` without all rows of a group but one: that of the smallest doc_id, text hash and hash of its columns.
 
-    Documents without words stay; rows that share doc_id and text are one document.
+    Documents without words stay.
     """
     rows = written(similar_groups(docs, ngram, percent).where("group IS NOT NULL"), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
@@ -435,7 +435,20 @@ def one_per_group(docs: DataFrame, ngram: int, percent: int) -> DataFrame:
     )
     keyed = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("row_hash"))
     same = F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.col("row_hash") == F.col("gone_hash"))
-    return keyed.join(gone, same, "left_anti").select("row.*")
+    left = keyed.join(gone, same, "left_anti")
+    # Rows that repeat doc_id and text of the one that stays.
+    again = rows.groupBy("group", "doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
+    again = written(again.select(F.col("doc_id").alias("again_id"), F.col("text_hash").alias("again_hash")), "again")
+    if again.isEmpty():
+        return left.select("row.*")
+    same = F.col("row.doc_id").eqNullSafe(F.col("again_id")) & (F.col("row_hash") == F.col("again_hash"))
+    # A task sends on one row of a key.
+    one = (
+        left.join(again, same, "left_semi")
+        .groupBy(F.col("row.doc_id").alias("i"), "row_hash")
+        .agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    )
+    return left.join(again, same, "left_anti").select("row.*").unionByName(one.select("row.*"))
 
 
 def op9_jaccard_join(spark, sf_dir):
