@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from tests.llm.conftest import rows_of
@@ -30,3 +31,8 @@ def test_all_links_between_distinct_sets(spark, monkeypatch, block):
     got = rows_of(pairs)
     assert len(got) == len(expected) > len(sets)
     assert {(bytes(r["a"]), bytes(r["b"])): r["n_shared"] for r in got} == expected
+
+
+def test_tokens_are_sent_with_all_their_bits():
+    keys = np.array([1, 1 << 40 | 1, 1 << 63 | 1, 2**64 - 1], np.uint64)
+    assert jaccard_join._unplaned(jaccard_join._planes(keys).tobytes()).tolist() == keys.tolist()

@@ -122,15 +122,13 @@ def _rows(rows: list[dict]) -> pa.RecordBatch:
 
 
 def _planes(keys: np.ndarray) -> np.ndarray:
-    """Keys as byte planes of their 5 low bytes, the highest first: what is sorted compresses."""
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 4::-1].T)
+    """Keys as byte planes, the highest first: what is sorted compresses."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, ::-1].T)
 
 
 def _unplaned(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, np.uint8).reshape(5, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, 4::-1] = planes.T
-    return out.view("<u8").reshape(-1)
+    planes = np.frombuffer(raw, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes[::-1].T).view("<u8").reshape(-1)
 
 
 def _shards(docs: DataFrame, parts: int, ngram: int) -> DataFrame:
@@ -215,7 +213,7 @@ def _possible(percent: int):
         found = [r for r in rows if r["keys"]]
         if index is not None and found:
             n = np.frombuffer(index["sizes"], "<u4").astype(np.int64)
-            keys = np.concatenate([_unplaned(r["keys"]) | np.uint64(r["part"]) << np.uint64(40) for r in found])
+            keys = np.concatenate([_unplaned(r["keys"]) for r in found])
             owners = np.concatenate([np.frombuffer(r["owners"], np.uint16) for r in found])
             rare = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in found])
             order = np.argsort(owners, kind="stable")
