@@ -35,7 +35,8 @@ def crc(ids) -> int:
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
+    assert numbers == list(range(1, len(numbers) + 1)) and len(numbers) >= 11
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))

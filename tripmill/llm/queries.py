@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import decontamination, fingerprints, jaccard_join, line_dedup, packing, sharding, suffix_dedup, token_files, toxicity, warc
+from tripmill.llm import decontamination, fingerprints, jaccard_join, line_dedup, packing, sharding, suffix_dedup, token_files, toxicity, warc, whitening
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_sharding": sharding.op10_sharding,
+    "op11_whitening": whitening.op11_whitening,
 }
 
 ORACLE_SQL = {
