@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import decontamination, fingerprints, jaccard_join, line_dedup, packing, ranked_search, sharding, suffix_dedup, token_files, toxicity, warc, whitening
+from tripmill.llm import decontamination, fingerprints, jaccard_join, language_model, line_dedup, packing, ranked_search, sharding, suffix_dedup, token_files, toxicity, warc, whitening
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_sharding": sharding.op10_sharding,
     "op11_whitening": whitening.op11_whitening,
+    "op12_lm_scoring": language_model.op12_lm_scoring,
     "op13_ranked_search": ranked_search.op13_ranked_search,
 }
 
