@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import rows_of
@@ -112,8 +113,66 @@ def test_archives_push_down_and_read_without_an_index(spark, tmp_path):
     assert read() == expected and all(p.records is None for p in reader.partitions())
     headers = spark.read.format("warc").option("payload", "false").load(uri)
     assert headers.where("payload IS NOT NULL").count() == 0 and headers.count() == 8
-    empty = str(tmp_path / "none")
-    warc.archive_pages(pages.limit(0), empty)
+    for n, empty in enumerate((pages.limit(0), spark.createDataFrame([], pages.schema))):
+        warc.archive_pages(empty, str(tmp_path / f"none{n}"))
+        assert rows_of(warc.read_archive(spark, str(tmp_path / f"none{n}"))) == []
+
+
+def test_unwanted_payloads_are_not_inflated(spark, tmp_path, monkeypatch):
+    """Records of unwanted types are not opened; of those that a header rules out only the first bytes are inflated."""
+    text = "".join(chr(97 + k * k % 26) for k in range(300_000))
+    pages = [(k, f"{text[: 100_000 + k // 2]}", "u") for k in range(8)]
+    uri = str(tmp_path / "archive")
+    warc.archive_pages(spark.createDataFrame(pages, "page_id long, html string, url string").coalesce(1), uri)
+    inflated, opened = [0], [0]
+
+    class Counting:
+        def __init__(self, *args):
+            self.plain = zlib.decompressobj(*args)
+            opened[0] += 1
+
+        def decompress(self, *args):
+            out = self.plain.decompress(*args)
+            inflated[0] += len(out)
+            return out
+
+        def __getattr__(self, name):
+            return getattr(self.plain, name)
+
+    monkeypatch.setattr(warc.zlib, "decompressobj", Counting)
+
+    def read(payload, *filters):
+        inflated[0] = opened[0] = 0
+        reader = warc.WarcReader({"path": uri, "payload": payload}, [])
+        assert list(reader.pushFilters(list(filters))) == []
+        rows = sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
+        return rows, opened[0], inflated[0]
+
+    rows, records, whole = read("true")
+    assert (rows, records) == (8, 8) and whole > 8 * 100_000
+    rows, records, some = read("true", warc.EqualTo(("record_type",), "revisit"))
+    assert (rows, records) == (4, 4) and some < 4 * 4096
+    rows, records, some = read("true", warc.EqualTo(("record_id",), "<urn:page:3>"))
+    assert (rows, records) == (1, 8) and some < 100_000 + 9 * 4096
+    rows, records, none = read("false")
+    assert (rows, records) == (8, 8) and none <= 8 * 4096
+
+
+def test_files_without_a_manifest_are_not_read(spark, tmp_path):
+    uri = str(tmp_path / "archive")
+    pages = spark.createDataFrame([(k, f"page {k}") for k in range(20)], "page_id long, html string").repartition(4)
+    warc.archive_pages(pages, uri)
+    # What a task left that was repeated or whose job failed, and an archive from elsewhere.
+    left = next((tmp_path / "archive").glob("_*.warc.gz"))
+    (tmp_path / "archive" / ("_" + "0" * 32 + ".warc.gz")).write_bytes(left.read_bytes())
+    assert len(rows_of(warc.read_archive(spark, uri))) == 20
+    (tmp_path / "archive" / "other.warc.gz").write_bytes(left.read_bytes())
+    assert len(rows_of(warc.read_archive(spark, uri))) > 20
+
+    writer = warc.WarcWriter({"path": uri}, [])
+    lost = writer.write(iter([Row(record_type="response", payload=b"x")]))
+    writer.abort([lost, None])
+    assert not any(lost.files[0].endswith(p.name) for p in (tmp_path / "archive").iterdir())
 
 
 def test_min_revisit_keeps_small_payloads(spark, tmp_path):

@@ -26,6 +26,7 @@ probability 1; an empty table gives an empty result; texts have no length limit;
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -116,6 +117,20 @@ def _from_steps(values: np.ndarray) -> np.ndarray:
     return np.cumsum(np.where(values & 1, -(values + 1) // 2, values // 2))
 
 
+def _order(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Ascending (high, low); rows that are equal in both come in any order. One sort of 64-bit keys where they fit."""
+    bits = int(low.max(initial=0)).bit_length()
+    if int(high.max(initial=0)).bit_length() + bits < 64:
+        return np.argsort(high << bits | low)
+    return np.lexsort((low, high))
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 def _store(uri: str):
     from pyarrow import fs
 
@@ -245,7 +260,9 @@ class Level:
 
     def search(self, contexts: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place in the level of each n-gram and of its context (-1: not there), and where the context's range starts."""
-        at = self.contexts.find(contexts)
+        # The same context in a row is looked up once.
+        new = np.flatnonzero(np.diff(contexts, prepend=-1))
+        at = np.repeat(self.contexts.find(contexts[new]), np.diff(np.r_[new, len(contexts)]))
         out, first = np.full(len(at), -1), np.zeros(len(at), np.int64)
         known = np.flatnonzero(at >= 0)
         if len(known):
@@ -297,7 +314,11 @@ class Block:
         for _ in range(2, order + 1):
             key = np.r_[0, at[:-1]] * self.size + self.flat
             key[~self.scored] = -1
-            distinct, first, now = np.unique(key, return_index=True, return_inverse=True)
+            by = np.argsort(key)
+            new = np.diff(key[by], prepend=-2) != 0
+            distinct, now, first = key[by][new], np.empty(len(key), np.int64), np.empty(int(new.sum()), np.int64)
+            now[by] = np.cumsum(new) - 1
+            first[now[::-1]] = np.arange(len(key))[::-1]
             counts = np.bincount(now[self.trained], minlength=len(distinct))
             yield np.maximum(distinct, 0) // self.size, at[first], counts, now
             at = now
@@ -310,16 +331,6 @@ class Known:
     def __init__(self, chance: np.ndarray, count: np.ndarray, node: np.ndarray, place: np.ndarray) -> None:
         self.chance, self.count, self.node, self.place = chance, count, node, place
 
-    def save(self, uri: str) -> None:
-        head = squeeze(self.count, self.node, self.place)
-        put(uri, np.array([len(head)], "<i8").tobytes() + head + self.chance.astype("<f4").tobytes())
-
-    @staticmethod
-    def load(uri: str) -> Known:
-        raw = get(uri)
-        size = int(np.frombuffer(raw, "<i8", 1)[0])
-        return Known(np.frombuffer(raw, "<f4", offset=8 + size).astype(np.float64), *unsqueeze(raw[8 : 8 + size]))
-
 
 class Plan:
     """Sizes and places that all tasks share."""
@@ -330,8 +341,8 @@ class Plan:
     def block(self, block: int) -> str:
         return f"{self.root}/blocks/{block:012d}"
 
-    def known(self, block: int, order: int) -> str:
-        return f"{self.root}/known{order}/{block:012d}"
+    def told(self, block: int, order: int) -> str:
+        return f"{self.root}/told{order}/{block:012d}"
 
     def level(self, order: int, shard: int) -> str:
         return f"{self.root}/order{order}/{shard:08d}"
@@ -352,8 +363,10 @@ class Asked:
         at, less = context[rows], shorter[rows]
         node, place, count = before.node[at], before.place[less], before.count[at]
         shard, parts, part = plan.dealt(node, place, count)
-        # By shard, then by context: nodes travel as small steps.
-        by = np.lexsort((node, shard))
+        # By shard, then by context: nodes travel as small steps. Rows of a context lie together, in an order of their own.
+        new = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(shard, prepend=-1) != 0))
+        turn = np.lexsort((node[new], shard[new])) if (parts > 1).any() else _order(shard[new], node[new])
+        by = _ranges(new[turn], np.diff(np.r_[new, len(rows)])[turn])
         self.rows, self.shard, self.node, self.place, self.count = rows[by], shard[by], node[by], place[by], count[by]
         self.parts, self.part, self.lower = parts[by], part[by], quantised(before.chance[less[by]])
         self.bounds = np.searchsorted(self.shard, np.arange(plan.shards + 1))
@@ -370,16 +383,25 @@ def _rows(kind: str, found: list[tuple[int, int, bytes]]) -> pa.Table:
 _TO_SHARD, _TO_BLOCK = "shard long, block long, body binary", "block long, shard long, body binary"
 
 
-def _requests(plan: Plan, block: int, grams: tuple, before: Known) -> pa.Table:
-    context, shorter, counts, _ = grams
-    asked = Asked(plan, context, shorter, before)
-    counts = counts[asked.rows]
-    found = []
-    for shard in range(plan.shards):
-        part = slice(asked.bounds[shard], asked.bounds[shard + 1])
-        body = squeeze(_steps(asked.node[part]), asked.place[part], counts[part], _steps(asked.count[part]), asked.lower[part])
-        found.append((shard, block, body))
-    return _rows("shard", found)
+def _ask(plan: Plan, order: int) -> Callable:
+    """Of a block: its distinct n-grams and their training counts, to the shards of their contexts."""
+
+    def run(batches):
+        for batch in batches:
+            for block in batch.column(0).to_pylist():
+                own = Block(plan.block(block))
+                grams = list(own.grams(order))
+                before = _told(plan, order - 1, block, own, grams)
+                context, shorter, counts, _ = grams[-1]
+                asked = Asked(plan, context, shorter, before)
+                counts, found = counts[asked.rows], []
+                for shard in range(plan.shards):
+                    part = slice(asked.bounds[shard], asked.bounds[shard + 1])
+                    columns = (_steps(asked.node[part]), asked.place[part], counts[part], _steps(asked.count[part]), asked.lower[part])
+                    found.append((shard, block, squeeze(*columns)))
+                yield from _rows("shard", found).to_batches()
+
+    return run
 
 
 def _answer(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
@@ -396,7 +418,7 @@ def _answer(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
         of_context = np.concatenate([_from_steps(p[3]) for p in parts])
         lower = np.concatenate([p[4].astype(np.uint8) for p in parts])
         del parts
-        by = np.lexsort((place, node))
+        by = _order(node, place)
         new = np.r_[True, (np.diff(node[by]) != 0) | (np.diff(place[by]) != 0)] if len(by) else np.zeros(0, bool)
         first = np.flatnonzero(new)
         which = np.empty(len(by), np.int64)
@@ -434,7 +456,7 @@ def _answer(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _learnt(plan: Plan, order: int, block: int, grams: tuple, before: Known, bodies: list[bytes]) -> Known:
+def _learnt(plan: Plan, order: int, grams: tuple, before: Known, bodies: list[bytes]) -> Known:
     """What the answers of all shards tell a block."""
     context, shorter, _, _ = grams
     asked = Asked(plan, context, shorter, before)
@@ -456,22 +478,53 @@ def _learnt(plan: Plan, order: int, block: int, grams: tuple, before: Known, bod
     return Known(chance, count, node, place)
 
 
-def _first_order(plan: Plan, block: Block, bodies: list[tuple[int, bytes]]) -> tuple[Known, np.ndarray, np.ndarray]:
-    """Words' chances from the vocabulary's answers; and log10 p and whether it was seen, by block-local number."""
-    shard = word_shards(block.words, plan.shards)
-    counts, place, distinct = np.zeros(block.size, np.int64), np.zeros(block.size, np.int64), int(plan.documents > 0)
-    for s, body in bodies:
+def _keep(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
+    """Of a block: the answers of one order, kept beside it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block = table.column("block")[0].as_py()
+        bodies = [b for _, b in sorted(zip(table.column("shard").to_pylist(), table.column("body").to_pylist()))]
+        if order == 1:
+            raw = _vocabulary(plan, Block(plan.block(block)), bodies)
+        else:
+            raw = np.array([len(bodies), *map(len, bodies)], "<i8").tobytes() + b"".join(bodies)
+        put(plan.told(block, order), raw)
+        return pa.table({"block": pa.array([block], pa.int64())})
+
+    return run
+
+
+def _vocabulary(plan: Plan, own: Block, bodies: list[bytes]) -> bytes:
+    """Counts and places of a block's words, and the number of distinct training words."""
+    shard = word_shards(own.words, plan.shards)
+    counts, place, distinct = np.zeros(len(own.words), np.int64), np.zeros(len(own.words), np.int64), 0
+    for s, body in enumerate(bodies):
         of, ranks, size = unsqueeze(body)
         at = np.flatnonzero(shard == s)
-        counts[at] = of
-        place[at] = np.where(of > 0, 2 + ranks * plan.shards + s, 0)
+        counts[at], place[at] = of, np.where(of > 0, 2 + ranks * plan.shards + s, 0)
         distinct += int(size[0])
-    end, start = block.size - 2, block.size - 1
-    counts[end], place[end] = plan.documents, 1 if plan.documents else 0
-    chance = np.log10((counts + 0.5) / (plan.tokens + 0.5 * (distinct + 1)))
+    return squeeze(counts, place, np.array([distinct]))
+
+
+def _told(plan: Plan, order: int, block: int, own: Block, grams: list[tuple], bodies: list[bytes] | None = None) -> Known:
+    """What a block knows up to an order, from the answers kept beside it and ``bodies`` for the last."""
+    counts, place, distinct = unsqueeze(get(plan.told(block, 1)))
+    there = int(plan.documents > 0)  # the end of a document
+    counts, place = np.r_[counts, plan.documents, 0], np.r_[place, there, 0]
+    chance = np.log10((counts + 0.5) / (plan.tokens + 0.5 * (int(distinct[0]) + there + 1)))
     as_context = counts.copy()
-    as_context[end], as_context[start] = 0, plan.documents
-    return Known(chance, as_context, place, place), chance, counts > 0
+    as_context[own.size - 2 :] = 0, plan.documents
+    known = Known(chance, as_context, place, place)
+    for k in range(2, order + 1):
+        if k == order and bodies is not None:
+            some = bodies
+        else:
+            raw = get(plan.told(block, k))
+            sizes = np.frombuffer(raw, "<i8", int(np.frombuffer(raw, "<i8", 1)[0]), 8)
+            ends = 8 * (len(sizes) + 1) + np.cumsum(sizes)
+            some = [raw[end - size : end] for end, size in zip(ends.tolist(), sizes.tolist())]
+        known = _learnt(plan, k, grams[k - 2], known, some)
+    return known
 
 
 def word_shards(some: list[bytes], shards: int) -> np.ndarray:
@@ -521,28 +574,16 @@ def _answer_words(table: pa.Table) -> pa.Table:
 _SCORES = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _finish(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
-    """Of a block: the answers of one order become the requests of the next, or after the last the scores."""
+def _finish(plan: Plan) -> Callable[[pa.Table], pa.Table]:
+    """Of a block: the answers of the last order become scores."""
 
     def run(table: pa.Table) -> pa.Table:
-        number = table.column("block")[0].as_py()
-        bodies = sorted(zip(table.column("shard").to_pylist(), table.column("body").to_pylist()))
-        own = Block(plan.block(number))
-        if order == 1:
-            before, chance, seen = _first_order(plan, own, bodies)
-            put(plan.known(number, 0), squeeze(seen) + chance.astype("<f8").tobytes())
-        else:
-            before = Known.load(plan.known(number, order - 1))
-        grams = list(own.grams(min(order + 1, plan.order)))
-        if order > 1:
-            before = _learnt(plan, order, number, grams[order - 2], before, [b for _, b in bodies])
-        if order < plan.order:
-            before.save(plan.known(number, order))
-            return _requests(plan, number, grams[order - 1], before)
-        raw = get(plan.known(number, 0))
-        chance = np.frombuffer(raw, "<f8", own.size, len(raw) - 8 * own.size)
-        seen = unsqueeze(raw[: len(raw) - 8 * own.size])[0]
-        at = grams[-1][3] if grams else own.flat
+        block = table.column("block")[0].as_py()
+        bodies = [b for _, b in sorted(zip(table.column("shard").to_pylist(), table.column("body").to_pylist()))]
+        own = Block(plan.block(block))
+        grams = list(own.grams(plan.order))
+        words_ = _told(plan, 1, block, own, grams)
+        last = _told(plan, plan.order, block, own, grams, bodies)
 
         def summed(values: np.ndarray) -> np.ndarray:
             return np.add.reduceat(np.where(own.scored, values, 0), own.starts)
@@ -552,9 +593,9 @@ def _finish(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
                 "doc_id": pa.array(own.doc_ids, pa.int64(), mask=own.nulls.astype(bool)),
                 "train": pa.array(own.train.astype(bool)),
                 "n_tokens": pa.array(own.lengths + 1, pa.int64()),
-                "n_known": pa.array(summed(seen[own.flat]).astype(np.int64)),
-                "base_score": pa.array(summed(chance[own.flat])),
-                "score": pa.array(summed(before.chance[at])),
+                "n_known": pa.array(summed(words_.place[own.flat] > 0).astype(np.int64)),
+                "base_score": pa.array(summed(words_.chance[own.flat])),
+                "score": pa.array(summed(last.chance[grams[-1][3]])),
             }
         )
 
@@ -599,6 +640,12 @@ def _cut(plan: Plan, size: int, train: Column, docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "block long, tokens long, trained long, documents long")
 
 
+def _release(spark) -> None:
+    """Let go of the shuffle files of a pass that has ended: Spark drops them when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def score_documents(
     docs: DataFrame, order: int = ORDER, block: int = BLOCK, shard: int = SHARD, hot: int = HOT, train: Column | None = None
 ) -> DataFrame:
@@ -612,12 +659,14 @@ def score_documents(
     blocks = written(_cut(plan, block, ~held_out(F.col("doc_id")) if train is None else train, docs), "blocks")
     total = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "trained", "documents")]).first()
     plan = Plan(plan.root, order, max(1, ceil(total["tokens"] / shard)), total["trained"], total["documents"], hot)
-    rows = blocks.select("block").repartition(max(1, blocks.count()), "block").mapInArrow(_ask_words(plan), _TO_SHARD)
-    rows = rows.groupBy("shard").applyInArrow(_answer_words, _TO_BLOCK)
+    numbers = blocks.select("block").repartitionByRange(max(1, blocks.count()), "block")
     for k in range(1, order + 1):
-        rows = rows.groupBy("block").applyInArrow(_finish(plan, k), _TO_SHARD if k < order else _SCORES)
+        ask, answer = (_ask_words(plan), _answer_words) if k == 1 else (_ask(plan, k), _answer(plan, k))
+        rows = numbers.mapInArrow(ask, _TO_SHARD).groupBy("shard").applyInArrow(answer, _TO_BLOCK).groupBy("block")
         if k < order:
-            rows = rows.groupBy("shard").applyInArrow(_answer(plan, k + 1), _TO_BLOCK)
+            rows.applyInArrow(_keep(plan, k), "block long").count()
+            _release(spark)
+    rows = rows.applyInArrow(_finish(plan), _SCORES)
     return written(rows, "scores").withColumn("train_tokens", F.lit(plan.tokens).cast("long"))
 
 

@@ -8,8 +8,10 @@ IN filters on ``record_type`` and on header columns are pushed down; a record's
 first, and the payload of a record that they rule out is skipped without being decoded, as
 are all payloads when ``payload`` is ``false``.
 
-The writer rolls files at ``roll_bytes``. Each record is a gzip member of its own. Files are
-written under draft names and moved into place; a failed or repeated task leaves no readable file.
+The writer rolls files at ``roll_bytes``. Each record is a gzip member of its own. A file's name starts with
+``_`` and it counts only if a manifest names it, which the driver writes when all tasks are done: one small
+file, no renames, and what a failed or repeated task leaves is never read. Other ``*.warc`` and ``*.warc.gz`` files of
+a folder are read as they are.
 
 Defined cases of ``archive_pages``: a null html is an empty payload; a null page_id is smaller
 than all others; rows that share a page_id are records of their own, and those that share the smallest
@@ -55,6 +57,7 @@ HEADERS = {
 }
 #: Bytes of a line of an index: offset, length and type of a record.
 INDEX_LINE = 47
+_MANIFEST = re.compile(r"manifest-[0-9a-f]{32}\.txt")
 SCHEMA = ", ".join(f"{c} string" for c in HEADERS) + ", payload binary"
 #: Fixed date, so that archives of the same pages are equal.
 DATE = "1970-01-01T00:00:00Z"
@@ -98,8 +101,15 @@ class WarcReader(DataSourceReader):
 
         store, top = _store(self.uri)
         found = {x.path: x.size for x in store.get_file_info(fs.FileSelector(top, recursive=True))}
+        named = set()
+        for name in found:
+            if _MANIFEST.fullmatch(name.rsplit("/", 1)[-1]):
+                with store.open_input_stream(name) as stream:
+                    folder = name.rsplit("/", 1)[0]
+                    named |= {f"{folder}/{line}" for line in stream.read().decode().split()}
         out = []
-        for name in sorted(n for n in found if re.search(r"\.warc(\.gz)?$", n)):
+        archives = (n for n in found if re.search(r"\.warc(\.gz)?$", n))
+        for name in sorted(n for n in archives if n in named or not n.rsplit("/", 1)[-1].startswith("_")):
             n = found.get(f"{name}.idx", 0) // INDEX_LINE
             if not n:
                 out.append(Range(name, None))
@@ -108,7 +118,9 @@ class WarcReader(DataSourceReader):
             out += [Range(name, (k * n // parts, (k + 1) * n // parts)) for k in range(parts)]
         return out
 
-    def read(self, partition: Range):
+    def read(self, partition: Range | None):
+        if partition is None:  # an empty archive: Spark asks for one partition all the same
+            return
         store, _ = _store(self.uri)
         rows: list[tuple] = []
         held = 0
@@ -218,15 +230,15 @@ class WarcWriter(DataSourceWriter):
 
         def close() -> None:
             out.close()
-            with store.open_output_stream(f"{files[-1]}.idx.draft") as stream:
+            with store.open_output_stream(f"{files[-1]}.idx") as stream:
                 stream.write("".join(f"{o:016x} {n:016x} {t:<12.12}\n" for o, n, t in index).encode())
 
         for row in iterator:
             if out is None or at >= self.roll:
                 if out is not None:
                     close()
-                files.append(f"{top}/{uuid.uuid4().hex}.warc.gz")
-                out, index, at = store.open_output_stream(f"{files[-1]}.draft"), [], 0
+                files.append(f"{top}/_{uuid.uuid4().hex}.warc.gz")
+                out, index, at = store.open_output_stream(files[-1]), [], 0
             member = record(row.asDict())
             out.write(member)
             index.append((at, len(member), row["record_type"]))
@@ -236,19 +248,21 @@ class WarcWriter(DataSourceWriter):
         return Written(files)
 
     def commit(self, messages) -> None:
-        store, _ = _store(self.uri)
-        for message in messages:
-            for file in message.files if message else ():
-                store.move(f"{file}.draft", file)
-                store.move(f"{file}.idx.draft", f"{file}.idx")
+        store, top = _store(self.uri)
+        store.create_dir(top, recursive=True)
+        names = [file.rsplit("/", 1)[-1] for message in messages if message for file in message.files]
+        draft = f"{top}/{uuid.uuid4().hex}.draft"
+        with store.open_output_stream(draft) as stream:
+            stream.write("".join(f"{name}\n" for name in names).encode())
+        store.move(draft, f"{top}/manifest-{uuid.uuid4().hex}.txt")
 
     def abort(self, messages) -> None:
         store, _ = _store(self.uri)
         for message in messages:
             for file in message.files if message else ():
-                for draft in (f"{file}.draft", f"{file}.idx.draft"):
-                    if store.get_file_info(draft).is_file:
-                        store.delete_file(draft)
+                for name in (file, f"{file}.idx"):
+                    if store.get_file_info(name).is_file:
+                        store.delete_file(name)
 
 
 def record(row: dict) -> bytes:
