@@ -160,8 +160,10 @@ def test_profile(spark, three_months):
     found = profile.files(spark, path).first()
     assert found.file_name == "yellow_tripdata_2025-01.parquet" and found.nb_rows == 2
     assert found.file_size > 0 and found.file_modification_time is not None
-    columns = profile.columns(spark.read.parquet(path))
-    assert columns[0] == ("VendorID", "int", 1) and columns[2][:2] == ("passenger_count", "bigint")
+    columns = {r.column_name: r for r in profile.columns(spark, path).collect()}
+    assert columns["VendorID"][3:] == ("VendorID", "int", 2, 0, "1")
+    assert columns["passenger_count"][4:] == ("bigint", 2, 1, "2") and columns["fare_amount"].example == "3.0"
+    assert columns["VendorID"].file_size == found.file_size and columns["VendorID"].file_time == found.file_modification_time
     codes = profile.code_frequencies(spark.read.parquet(path), ["VendorID", "passenger_count"]).collect()
     assert ("passenger_count", None, 1) in [tuple(r) for r in codes]
 

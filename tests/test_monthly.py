@@ -1,5 +1,6 @@
 """Publication, replay, gates, several months."""
 
+import shutil
 from dataclasses import replace
 from datetime import date
 
@@ -25,9 +26,15 @@ OPTIONS = {"loaded_at": fx.FIRST_LOAD, "zone_options": fx.ZONE_OPTIONS}
 
 
 @pytest.fixture
-def landing(spark, tmp_path):
+def landing(landed, tmp_path):
+    """A landing folder of its own."""
+    return shutil.copytree(landed, tmp_path / "landing").as_posix()
+
+
+@pytest.fixture(scope="session")
+def landed(spark, tmp_path_factory):
     """January and February files with the same valid share, and the zone list."""
-    folder = str(tmp_path / "landing")
+    folder = str(tmp_path_factory.mktemp("landed"))
     raw = fx.trips_from_events(spark, SF)
     _land_trips(raw, folder, "2024-01")
     later = raw.where(F.col("_source_file").contains("2024-01")).withColumns(

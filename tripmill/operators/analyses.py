@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripmill.contracts import CARD, CASH, OUTLIER_TOTAL, UNCOLLECTED_PAYMENTS
 from tripmill.functions import average, ntz, ratio, round_to
-from tripmill.operators.medians import exact_medians, join_on_group
+from tripmill.operators.medians import exact_medians, join_on_group, medians_of_counts
 
 
 def _n() -> Column:
@@ -21,11 +21,14 @@ def _share(hits: Column, rows: Column, digits: int) -> Column:
     return round_to(100 * hits / rows, digits)
 
 
+def is_collected(max_total: float = OUTLIER_TOTAL) -> Column:
+    """A plausible and collected amount; NULL for an unknown payment or amount."""
+    return (F.col("total_amount") <= max_total) & ~F.col("payment_type_key").isin(*UNCOLLECTED_PAYMENTS)
+
+
 def collected_trips(fact: DataFrame, max_total: float = OUTLIER_TOTAL) -> DataFrame:
     """Trips with a plausible and collected amount. An unknown payment (NULL) drops out."""
-    return fact.where(
-        (F.col("total_amount") <= max_total) & ~F.col("payment_type_key").isin(*UNCOLLECTED_PAYMENTS)
-    )
+    return fact.where(is_collected(max_total))
 
 
 def _known_zones(dim_zone: DataFrame) -> DataFrame:
@@ -59,34 +62,72 @@ def top_zone_hours(
         F.sum(total_if(CASH)).alias("cash_sum"),
         F.count(total_if(CASH)).alias("cash_n"),
     )
-    ranking = [F.desc("nb_trips"), F.asc("zone"), F.asc("borough"), F.asc("pickup_hour")]
     busiest = (
         daily.join(zones, "pickup_zone_key")
         .groupBy(*group)
-        .agg(
-            F.sum("trips").alias("nb_trips"),
-            round_to(F.sum("trips") / F.countDistinct("pickup_date"), 0).alias("trips_per_day"),
-            round_to(average("fare_sum", "fare_n"), 2).alias("avg_fare"),
-            round_to(average("total_sum", "total_n"), 2).alias("avg_total"),
-            _share(F.sum("card_trips"), F.sum("trips"), 1).alias("card_share_pct"),
-            round_to(average("card_sum", "card_n"), 2).alias("avg_total_card"),
-            round_to(average("cash_sum", "cash_n"), 2).alias("avg_total_cash"),
-        )
-        .orderBy(*ranking)
-        .limit(k)
+        .agg(F.countDistinct("pickup_date").alias("days"), *_totals())
+    )
+    cells, in_cells = _busiest(busiest, zones, k)
+    ranked = trips.select("pickup_zone_key", "pickup_hour", "fare_amount").join(
+        in_cells, ["pickup_zone_key", "pickup_hour"]
     )
+    medians = exact_medians(ranked, ["cell"], {"median_fare": F.col("fare_amount")}, digits=2)
+    return cells.join(medians, "cell", "left").drop("cell").orderBy(*_ranking())
+
+
+_RANKING = [("nb_trips", False), ("zone", True), ("borough", True), ("pickup_hour", True)]
+# Sums that the busiest cells are made of.
+_CELL_SUMS = ["trips", "fare_sum", "fare_n", "total_sum", "total_n", "card_trips", "card_sum", "card_n", "cash_sum", "cash_n"]
+
+
+def _ranking() -> list[Column]:
+    return [F.asc(name) if ascending else F.desc(name) for name, ascending in _RANKING]
+
+
+def _totals() -> list[Column]:
+    return [F.sum(name).alias(name) for name in _CELL_SUMS]
+
+
+def _busiest(totals: DataFrame, zones: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """The ``k`` largest cells under a number, and the zone keys and hours of each."""
+    busiest = totals.select(
+        "zone", "borough", "pickup_hour",
+        F.col("trips").alias("nb_trips"),
+        round_to(F.col("trips") / F.col("days"), 0).alias("trips_per_day"),
+        round_to(ratio(F.col("fare_sum"), F.col("fare_n")), 2).alias("avg_fare"),
+        round_to(ratio(F.col("total_sum"), F.col("total_n")), 2).alias("avg_total"),
+        _share(F.col("card_trips"), F.col("trips"), 1).alias("card_share_pct"),
+        round_to(ratio(F.col("card_sum"), F.col("card_n")), 2).alias("avg_total_card"),
+        round_to(ratio(F.col("cash_sum"), F.col("cash_n")), 2).alias("avg_total_cash"),
+    ).orderBy(*_ranking()).limit(k)
     # The cells are known now: only their trips are ranked, under a number instead of names.
-    cells = busiest.withColumn("cell", F.row_number().over(Window.orderBy(*ranking)))
+    cells = busiest.withColumn("cell", F.row_number().over(Window.orderBy(*_ranking())))
     zone_of = zones.select("pickup_zone_key", F.col("zone").alias("_zone"), F.col("borough").alias("_borough"))
     in_cells = cells.select("zone", "borough", "pickup_hour", "cell").join(
         zone_of,
         F.col("zone").eqNullSafe(F.col("_zone")) & F.col("borough").eqNullSafe(F.col("_borough")),
     ).select("pickup_zone_key", "pickup_hour", "cell")
-    ranked = trips.select("pickup_zone_key", "pickup_hour", "fare_amount").join(
-        in_cells, ["pickup_zone_key", "pickup_hour"]
+    return cells, in_cells
+
+
+def top_zone_hours_of_partials(collected: DataFrame, fare_counts: DataFrame, dim_zone: DataFrame, k: int = 10) -> DataFrame:
+    """The same from month partials (``marts.collected_partials``, ``marts.fare_counts``): the fact is not read.
+
+    Days are counted in merged bitmaps, the median comes from merged counts of equal fares.
+    """
+    zones = _known_zones(dim_zone)
+    group = ["zone", "borough", "pickup_hour"]
+    totals = (
+        collected.join(zones, "pickup_zone_key")
+        .groupBy(*group, "day_bucket")
+        .agg(F.bitmap_count(F.bitmap_or_agg("days")).alias("days"), *_totals())
+        .groupBy(*group)
+        .agg(F.sum("days").alias("days"), *_totals())
     )
-    medians = exact_medians(ranked, ["cell"], {"median_fare": F.col("fare_amount")}, digits=2)
-    return cells.join(medians, "cell", "left").drop("cell").orderBy(*ranking)
+    cells, in_cells = _busiest(totals, zones, k)
+    fares = fare_counts.join(in_cells, ["pickup_zone_key", "pickup_hour"])
+    medians = medians_of_counts(fares, ["cell"], "median_fare", "fare_amount", "trips", digits=2)
+    return cells.join(medians, "cell", "left").drop("cell").orderBy(*_ranking())
 
 
 def _cell_trips(fact: DataFrame, dim_zone: DataFrame, zone_name: str, hour: int) -> DataFrame:

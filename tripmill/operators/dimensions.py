@@ -41,19 +41,6 @@ def calendar(spark: SparkSession, start_month: date, end_month: date) -> DataFra
     bounds = spark.range(1).select(
         F.lit(start_month).cast("date").alias("first_day"), F.lit(end_month).cast("date").alias("end_day")
     )
-    return _spine(bounds)
-
-
-def calendar_of(trips: DataFrame, month: str = "source_file_month") -> DataFrame:
-    """Calendar covering every file month found in ``trips``."""
-    return _spine(
-        trips.agg(
-            F.min(month).alias("first_day"), F.add_months(F.max(month), 1).alias("end_day")
-        )
-    )
-
-
-def _spine(bounds: DataFrame) -> DataFrame:
     every_day = F.sequence("first_day", F.date_sub("end_day", 1))
     return _describe_days(bounds.select(F.explode(every_day).alias("full_date")))
 

@@ -52,8 +52,25 @@ def exact_medians(
         unpivoted.where(F.col("_v").isNotNull())
         .groupBy(*keys, "_m", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bin", _bin(F.col("_v")))
     )
+    return _medians(counted, keys, list(measures), digits)
+
+
+def medians_of_counts(
+    counts: DataFrame, keys: Sequence[str], name: str, value: str, n: str, digits: int | None = None
+) -> DataFrame:
+    """The same from counts of equal values, which add up over months: the rows themselves are not needed."""
+    keys = list(keys)
+    counted = (
+        counts.where(F.col(value).isNotNull())
+        .groupBy(*keys, F.lit(0).alias("_m"), F.col(value).cast("double").alias("_v"))
+        .agg(F.sum(n).alias("_n"))
+    )
+    return _medians(counted, keys, [name], digits)
+
+
+def _medians(counted: DataFrame, keys: list[str], names: list[str], digits: int | None) -> DataFrame:
+    counted = counted.withColumn("_bin", _bin(F.col("_v")))
     group = [*keys, "_m"]
     bins = counted.groupBy(*group, "_bin").agg(F.sum("_n").alias("_in_bin"))
     # A few thousand doublings at most are ordered per group, then the bins of the one or two
@@ -92,7 +109,7 @@ def exact_medians(
         .agg(((F.min("_v") + F.max("_v")) / 2).alias("_median"))
     )
     columns = []
-    for position, name in enumerate(measures):
+    for position, name in enumerate(names):
         median = F.max(F.when(F.col("_m") == position, F.col("_median")))
         columns.append((median if digits is None else round_to(median, digits)).alias(name))
     return middle.groupBy(*keys).agg(*columns)

@@ -268,10 +268,11 @@ def _e(upto: str) -> list[str]:
     return _layers(_EVENT_RAW, rg.fx.EVENT_PARAMS, upto)
 
 
-def _run_raw(published_only: bool) -> str:
-    """Loaded rows of the published runs: January's, moved; those of a month that fails if asked for."""
+def _run_raw(published_only: bool, repaired: str | None = None) -> str:
+    """Loaded rows of the published runs: all trips, moved; those of a month that fails if asked for."""
     rows = []
     for month, (days, passes) in rg.RUN_MONTHS.items():
+        passes = passes or month == repaired
         if published_only and not passes:
             continue
         distance = "trip_distance" if passes else "case when passenger_count > 3 then trip_distance else -1 end"
@@ -279,7 +280,7 @@ def _run_raw(published_only: bool) -> str:
             f"select * replace (tpep_pickup_datetime + interval {days} day as tpep_pickup_datetime,"
             f" tpep_dropoff_datetime + interval {days} day as tpep_dropoff_datetime,"
             f" {distance} as trip_distance, 'yellow_tripdata_{month}.parquet' as _source_file)"
-            " from one_raw where _source_file = 'yellow_tripdata_2024-01.parquet'"
+            " from one_raw"
         )
     return _EVENT_RAW.replace("\nraw as (", "\none_raw as (") + f",\nraw as ({' union all '.join(rows)})"
 
@@ -438,6 +439,57 @@ drifted as (
 )"""
 
 
+def _history() -> str:
+    """The ledger of ``load_history``: January's states in order, and February's single load."""
+    # After it was emptied, the file offered is still another one than the one that was loaded.
+    january = ["loaded", "again", "changed", "emptied", "changed", "forgotten", "loaded"]
+    rows = ", ".join(
+        f"({i}, '{state}', {'true' if state in ('loaded', 'again') or i == 3 else 'false'})"
+        for i, state in enumerate(january, 1)
+    )
+    return (
+        "select f as file_name, cast(event as integer) as event, state, if(there, n, 0) as nb_rows"
+        f" from (values {rows}) as e(event, state, there),"
+        " (select _source_file as f, count(*) as n from raw where _source_file like '%2024-01%' group by 1)"
+        " union all select _source_file, 1, 'loaded', count(*) from raw where _source_file like '%2024-02%' group by 1"
+    )
+
+
+def _drift() -> str:
+    older = f"payment_type <= {rg.LAST_OLDER_PAYMENT} and _source_file like '%2024-01%'"
+    newer = f"payment_type > {rg.LAST_OLDER_PAYMENT} and _source_file like '%2024-01%'"
+    items = [
+        ("vendorid", "retyped", "string", "bigint", True, older),
+        ("passenger_count", "retyped", "double", "bigint", False, older),
+        ("cbd_congestion_fee", "missing", None, "double", False, older),
+        ("surprise", "new", "string", None, False, newer),
+        ("pulocationid", "retyped", "int", "bigint", False, newer),
+    ]
+
+    def text(value: str | None) -> str:
+        return "cast(null as varchar)" if value is None else f"'{value}'"
+
+    return " union all ".join(
+        f"select '{name}' as column_name, '{problem}' as problem, {text(found)} as found_type,"
+        f" {text(expected)} as expected_type, {str(stops).lower()} as stops,"
+        f" (select count(*) from raw where {rows}) as nb_rows"
+        for name, problem, found, expected, stops, rows in items
+    )
+
+
+def _profile_columns() -> str:
+    kinds = {
+        "event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double",
+        "props": "string",
+    }
+    return " union all ".join(
+        f"select 'events.parquet' as file_name, true as has_size, true as has_time, '{name}' as column_name,"
+        f" '{kind}' as data_type, count(*) as nb_rows, count(*) - count({name}) as nb_nulls,"
+        f" cast(min({name}) as varchar) as example from events"
+        for name, kind in kinds.items()
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     capped = _capped_params()
     profile_day = _date(rg.PROFILE_MONTH)
@@ -586,8 +638,9 @@ def oracle_sql() -> dict[str, str]:
             *_e("staged"),
             "select * replace (timestamp '2024-03-01' as loaded_at,"
             f" case when payment_type_key <= {rg.LAST_OLDER_PAYMENT} then 0 else cbd_congestion_fee_amount end"
-            " as cbd_congestion_fee_amount)"
-            " from staged where source_file = 'yellow_tripdata_2024-01.parquet'",
+            " as cbd_congestion_fee_amount"
+            ", 'yellow_tripdata_2024-01.parquet' as source_file, date '2024-01-01' as source_file_month)"
+            " from staged",
         ),
         "monthly_fact": _sql(*_m("fact"), "select * from fact"),
         "monthly_daily_revenue": _sql(
@@ -596,4 +649,18 @@ def oracle_sql() -> dict[str, str]:
         "monthly_zone_demand": _sql(*_m("fact"), _ZONES, _DEMAND),
         "monthly_quality": _sql(*_m("flagged", published_only=False), _QUALITY),
         "monthly_run": _sql(*_e("fact"), "select * from fact"),
+        "monthly_top_zone_hours": _sql(*_m("fact"), _ZONES, _TOP),
+        "backfill_resumed": _sql(
+            *_layers(_run_raw(True, rg.REPAIRED_MONTH), rg.fx.EVENT_PARAMS, "fact"),
+            f"select source_file_month, source_file_month >= {_date(rg.REPAIRED_MONTH)} as ran_again,"
+            " count(*) as nb_trips, count(distinct trip_sk) as nb_keys from fact group by 1",
+        ),
+        "load_history": _sql(*_e("raw"), _history()),
+        "drift_report": _sql(*_e("raw"), _drift()),
+        "staging_views": _sql(
+            *_e("staged"), _ZONES,
+            "select s.* replace (timestamp '2024-03-01' as loaded_at), z.zone_name, z.borough"
+            " from staged s left join zones z on z.zone_key = s.pickup_zone_key",
+        ),
+        "source_profile_columns": _profile_columns(),
     }

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +24,8 @@ from tripmill.plans import monthly
 from tripmill.plans.warehouse import Warehouse
 from tripmill.session import scratch_dir
 from tripmill.sources import profile
-from tripmill.streaming.arrivals import ingest_month, ingest_zones
+from tripmill.sources.landing import parts_by_schema
+from tripmill.streaming.arrivals import empty_month, forget_month, ingest_month, ingest_zones
 
 # Parameters of the registered queries, shared with their SQL counterparts.
 MIX_ZONE, MIX_HOUR = "NATION_3", 17
@@ -33,6 +36,7 @@ FILE_MONTHS = ["2024-01", "2024-02"]
 LAST_OLDER_PAYMENT = 2
 # Months of the published runs: days after January's trips, and whether the month must pass its gates.
 RUN_MONTHS = {"2024-01": (0, True), "2024-02": (31, False), "2024-03": (60, True)}
+REPAIRED_MONTH = "2024-02"
 
 
 class Trips:
@@ -115,8 +119,14 @@ def code_dimensions(spark, sf_dir):
     )
 
 
+def _file_months(staged: DataFrame) -> tuple[date, date]:
+    """The first file month and the month after the last: what a run's calendar has to cover."""
+    span = staged.agg(F.min("source_file_month").alias("first"), F.add_months(F.max("source_file_month"), 1).alias("end"))
+    return tuple(span.first())
+
+
 def dim_date(spark, sf_dir):
-    return dimensions.calendar_of(events(spark, sf_dir).staged)
+    return dimensions.calendar(spark, *_file_months(events(spark, sf_dir).staged))
 
 
 def flagged_trips(spark, sf_dir):
@@ -129,8 +139,6 @@ def flagged_trips_volume(spark, sf_dir):
 
 def amount_cap_statuses(spark, sf_dir):
     """Statuses with the proposed ceiling on the total switched on."""
-    from dataclasses import replace
-
     trips = lines(spark, sf_dir)
     capped = replace(trips.params, max_total_amount=OUTLIER_AMOUNT)
     return marts.data_quality(marts.status_counts(rules.flag_trips(trips.staged, capped)))
@@ -166,7 +174,7 @@ def fact_trips(spark, sf_dir):
 
 
 def mart_daily_revenue(spark, sf_dir):
-    days = dimensions.calendar_of(events(spark, sf_dir).staged)
+    days = dimensions.calendar(spark, *_file_months(events(spark, sf_dir).staged))
     return marts.daily_revenue(events(spark, sf_dir).cells, days, dimensions.payment_types(spark))
 
 
@@ -338,6 +346,14 @@ def source_profile_files(spark, sf_dir):
     return profile.files(spark, f"{sf_dir}/events.parquet").select("file_name", "nb_rows")
 
 
+def source_profile_columns(spark, sf_dir):
+    """Size and time are those of the file; what is comparable is that they are there."""
+    return profile.columns(spark, f"{sf_dir}/events.parquet").select(
+        "file_name", (F.col("file_size") > 0).alias("has_size"), F.col("file_time").isNotNull().alias("has_time"),
+        "column_name", "data_type", "nb_rows", "nb_nulls", "example",
+    )
+
+
 def _warehouse(spark: SparkSession, label: str) -> tuple[Warehouse, str]:
     """A warehouse of its own under the shared scratch folder, and a landing folder."""
     root = scratch_dir(spark, label)
@@ -379,9 +395,9 @@ def load_once(spark, sf_dir):
 
 
 def load_parts(spark, sf_dir):
-    """One month in a folder of parts that drift from each other; the staged rows."""
+    """All trips as one month's folder of parts that drift from each other; the staged rows."""
     warehouse, landing = _warehouse(spark, "parts")
-    raw = events(spark, sf_dir).raw
+    raw = events(spark, sf_dir).raw.withColumn("_source_file", F.lit(trip_file_name("2024-01")))
     older = F.col("payment_type") <= LAST_OLDER_PAYMENT
     early = raw.where(older).withColumn("passenger_count", F.col("passenger_count").cast("double"))
     _land_trips(early.drop("cbd_congestion_fee"), landing, "2024-01")
@@ -407,10 +423,9 @@ def monthly_run(spark, sf_dir):
     """January publishes, February stops at a gate; the fact afterwards."""
     warehouse, landing = _warehouse(spark, "run")
     raw = events(spark, sf_dir).raw
-    zone_rows = fx.zones_from_nations(spark, sf_dir).drop("_source_file", "_loaded_at")
-    zone_rows.write.option("header", True).csv(f"{landing}/taxi_zone_lookup.csv")
-    for month in FILE_MONTHS:
-        _land_trips(raw, landing, month)
+    monthly.side_by_side(
+        lambda: _land_zones(spark, sf_dir, landing), *[lambda m=m: _land_trips(raw, landing, m) for m in FILE_MONTHS]
+    )
     try:
         monthly.backfill(
             warehouse, landing, FILE_MONTHS, fx.EVENT_PARAMS,
@@ -421,34 +436,34 @@ def monthly_run(spark, sf_dir):
     return warehouse.read("fct_trips")
 
 
-_PUBLISHED: dict[tuple[str, str], Warehouse] = {}
-
+def _run_trips(raw: DataFrame, month: str, passes: bool | None = None) -> DataFrame:
+    """All trips, moved into one of the published runs' months; those of a month that fails its gate break a rule."""
+    days, usually = RUN_MONTHS[month]
+    passes = usually if passes is None else passes
+    later, distance = F.expr(f"INTERVAL {days} DAYS"), F.col("trip_distance")
+    return raw.withColumns(
+        {
+            "tpep_pickup_datetime": F.col("tpep_pickup_datetime") + later,
+            "tpep_dropoff_datetime": F.col("tpep_dropoff_datetime") + later,
+            "trip_distance": distance if passes else F.when(F.col("passenger_count") > 3, distance).otherwise(-1.0),
+            "_source_file": F.lit(trip_file_name(month)),
+        }
+    )
 
-def _published(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """January and March publish, February holds valid trips but fails its gate; January runs twice.
 
-    All months have January's trips, moved. Published once per session and folder.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _PUBLISHED:
-        return _PUBLISHED[key]
-    warehouse, landing = _warehouse(spark, "months")
-    january = events(spark, sf_dir).raw.where(F.col("_source_file") == trip_file_name("2024-01"))
-    january = stored(spark, january, "january")
+def _land_zones(spark: SparkSession, sf_dir: str, landing: str) -> None:
     zone_rows = fx.zones_from_nations(spark, sf_dir).drop("_source_file", "_loaded_at")
     zone_rows.write.option("header", True).csv(f"{landing}/taxi_zone_lookup.csv")
-    for month, (days, passes) in RUN_MONTHS.items():
-        later = F.expr(f"INTERVAL {days} DAYS")
-        distance = F.col("trip_distance")
-        moved = january.withColumns(
-            {
-                "tpep_pickup_datetime": F.col("tpep_pickup_datetime") + later,
-                "tpep_dropoff_datetime": F.col("tpep_dropoff_datetime") + later,
-                "trip_distance": distance if passes else F.when(F.col("passenger_count") > 3, distance).otherwise(-1.0),
-                "_source_file": F.lit(trip_file_name(month)),
-            }
-        )
-        _land_trips(moved, landing, month)
+
+
+def _published(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """January and March publish, February holds valid trips but fails its gate; January runs twice."""
+    warehouse, landing = _warehouse(spark, "months")
+    raw = stored(spark, events(spark, sf_dir).raw, "trips")
+    monthly.side_by_side(
+        lambda: _land_zones(spark, sf_dir, landing),
+        *[lambda m=m: _land_trips(_run_trips(raw, m), landing, m) for m in RUN_MONTHS],
+    )
     for month in [*RUN_MONTHS, "2024-01"]:
         try:
             monthly.run_month(
@@ -457,7 +472,6 @@ def _published(spark: SparkSession, sf_dir: str) -> Warehouse:
             )
         except gates.GateFailed:
             pass
-    _PUBLISHED[key] = warehouse
     return warehouse
 
 
@@ -477,6 +491,82 @@ def monthly_quality(spark, sf_dir):
     return _published(spark, sf_dir).read("mart_data_quality")
 
 
+def monthly_top_zone_hours(spark, sf_dir):
+    """The flagship over published months: from their partials, without reading the fact."""
+    return monthly.top_zone_hours(_published(spark, sf_dir))
+
+
+def backfill_resumed(spark, sf_dir):
+    """Three months; the second fails its gate, is landed anew, and the backfill goes on there. Rows and runs by month."""
+    warehouse, landing = _warehouse(spark, "backfill")
+    raw = stored(spark, events(spark, sf_dir).raw, "trips")
+    monthly.side_by_side(
+        lambda: _land_zones(spark, sf_dir, landing),
+        *[lambda m=m: _land_trips(_run_trips(raw, m), landing, m) for m in RUN_MONTHS],
+    )
+    options = {"loaded_at": fx.FIRST_LOAD, "zone_options": fx.ZONE_OPTIONS}
+    # Moved trips of the last days of a shorter month fall outside it.
+    params, ran = replace(fx.EVENT_PARAMS, max_rejection_rate=0.4), []
+    try:
+        monthly.backfill(warehouse, landing, list(RUN_MONTHS), params, resume=True, **options)
+    except gates.GateFailed:
+        # The file of the month that stopped comes again under its name, with its distances.
+        warehouse.delete_path(f"{landing}/{trip_file_name(REPAIRED_MONTH)}")
+        _land_trips(_run_trips(raw, REPAIRED_MONTH, passes=True), landing, REPAIRED_MONTH)
+        ran = monthly.backfill(warehouse, landing, list(RUN_MONTHS), params, resume=True, **options)
+    runs = spark.createDataFrame([(month_start(m), m in ran) for m in RUN_MONTHS], "source_file_month date, ran_again boolean")
+    rows = warehouse.read("fct_trips").groupBy("source_file_month").agg(
+        F.count(F.lit(1)).alias("nb_trips"), F.countDistinct("trip_sk").alias("nb_keys")
+    )
+    return runs.join(rows, "source_file_month")
+
+
+def load_history(spark, sf_dir):
+    """Loaded, offered again, changed under its name, emptied, offered, forgotten and loaded again: the ledger."""
+    warehouse, landing = _warehouse(spark, "history")
+    raw = events(spark, sf_dir).raw
+    for month in FILE_MONTHS:
+        _land_trips(raw, landing, month)
+        ingest_month(warehouse, landing, month, fx.FIRST_LOAD)
+    january = FILE_MONTHS[0]
+    ingest_month(warehouse, landing, january, fx.FIRST_LOAD)
+    warehouse.delete_path(f"{landing}/{trip_file_name(january)}")
+    _land_trips(raw.withColumn("tip_amount", F.lit(0.0)), landing, january)
+    ingest_month(warehouse, landing, january, fx.FIRST_LOAD)
+    empty_month(warehouse, january)
+    ingest_month(warehouse, landing, january, fx.FIRST_LOAD)
+    forget_month(warehouse, january)
+    ingest_month(warehouse, landing, january, fx.FIRST_LOAD)
+    return warehouse.ledger.events().select("file_name", "event", "state", "nb_rows")
+
+
+def drift_report(spark, sf_dir):
+    """A month whose parts drift from the contract: what differs, in how many rows, and what would stop the run."""
+    _, landing = _warehouse(spark, "drift")
+    raw = events(spark, sf_dir).raw
+    older = F.col("payment_type") <= LAST_OLDER_PAYMENT
+    text_key = {"vendorid": F.col("vendorid").cast("string"), "passenger_count": F.col("passenger_count").cast("double")}
+    _land_trips(raw.where(older).drop("cbd_congestion_fee"), landing, "2024-01", **text_key)
+    _land_trips(raw.where(~older), landing, "2024-01", surprise=F.lit("x"), pulocationid=F.col("pulocationid").cast("int"))
+    return gates.drift_report(spark, parts_by_schema(spark, f"{landing}/{trip_file_name('2024-01')}"))
+
+
+def staging_views(spark, sf_dir):
+    """Loaded trips and zones as another session sees them through the catalog's views."""
+    warehouse, landing = _warehouse(spark, "views")
+    raw = events(spark, sf_dir).raw
+    for month in FILE_MONTHS:
+        _land_trips(raw, landing, month)
+        ingest_month(warehouse, landing, month, fx.FIRST_LOAD)
+    _land_zones(spark, sf_dir, landing)
+    ingest_zones(warehouse, landing, fx.FIRST_LOAD)
+    staging = f"{warehouse.prefix}staging"
+    return spark.newSession().sql(
+        f"SELECT t.*, z.zone_name, z.borough FROM {staging}.stg_tlc__yellow_trips t "
+        f"LEFT JOIN {staging}.stg_tlc__taxi_zones z ON z.zone_key = t.pickup_zone_key"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -523,6 +613,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         source_profile_codes,
         source_profile_anomalies,
         source_profile_files,
+        source_profile_columns,
         month_replace,
         load_once,
         load_parts,
@@ -532,5 +623,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         monthly_daily_revenue,
         monthly_zone_demand,
         monthly_quality,
+        monthly_top_zone_hours,
+        backfill_resumed,
+        load_history,
+        drift_report,
+        staging_views,
     )
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from datetime import datetime, timezone
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,24 +30,64 @@ def _to_contract(name: str, source: T.DataType | None, target: T.DataType) -> Co
     return column.cast(target)
 
 
-def _parts(spark: SparkSession, path: str) -> list[str]:
-    """The files below a path, listed by Spark; their content is not read."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
-    return sorted(row["path"] for row in listed.collect())
+class Parts(NamedTuple):
+    """Parts of a landed file that have one schema."""
 
+    schema: T.StructType
+    paths: list[str]
+    nb_rows: int
+    size: int
+    newest: datetime
 
-def _by_schema(spark: SparkSession, parts: list[str]) -> list[DataFrame]:
-    """One scan for all parts whose own schemas are equal."""
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        schemas = list(pool.map(lambda part: spark.read.parquet(part).schema, parts))
-    alike: dict[str, list[str]] = {}
-    for part, schema in zip(parts, schemas):
-        alike.setdefault(schema.json(), []).append(part)
-    return [spark.read.parquet(*group) for group in alike.values()]
+
+_FOOTER = "path string, length long, modified timestamp, kind string, nb_rows long"
+
+
+def _footers(batches) -> Iterator:
+    """Schema and rows of each file by its footer; read where the file's row of the listing is."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    for batch in batches:
+        kinds, rows = [], []
+        for path in batch.column(0).to_pylist():
+            store, name = fs.FileSystem.from_uri(_pyarrow_uri(path))
+            footer = pq.read_metadata(name, filesystem=store)
+            kinds.append(str(footer.schema.to_arrow_schema().remove_metadata()))
+            rows.append(footer.num_rows)
+        columns = [*batch.columns, pa.array(kinds, pa.string()), pa.array(rows, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["path", "length", "modified", "kind", "nb_rows"])
+
+
+def _pyarrow_uri(path: str) -> str:
+    scheme, rest = path.split(":", 1)
+    return f"{ {'s3a': 's3', 's3n': 's3'}.get(scheme, scheme) }://{'/' if scheme == 'file' else ''}{rest.lstrip('/')}".replace(" ", "%20")
+
+
+def parts_by_schema(spark: SparkSession, path: str) -> list[Parts]:
+    """The parts of a landed file or folder, together as their schemas are equal.
+
+    Spark lists the files and its tasks read their footers; the driver opens one file for each distinct schema.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    found = (
+        listed.select("path", "length", F.col("modificationTime").alias("modified"))
+        .mapInArrow(_footers, _FOOTER)
+        .groupBy("kind")
+        .agg(
+            F.sort_array(F.collect_list("path")).alias("paths"), F.sum("nb_rows").alias("nb_rows"),
+            F.sum("length").alias("size"), F.max("modified").alias("newest"),
+        )
+        .orderBy("kind")
+    )
+    return [
+        Parts(spark.read.parquet(row.paths[0]).schema, row.paths, row.nb_rows, row.size, row.newest) for row in found.collect()
+    ]
 
 
 def read_trip_file(
-    spark: SparkSession, path: str, file_name: str, loaded_at: datetime | None = None
+    spark: SparkSession, path: str, file_name: str, loaded_at: datetime | None = None, parts: list[Parts] | None = None
 ) -> DataFrame:
     """One month's file (or folder of parts) in the shape of the loaded trips.
 
@@ -54,9 +95,13 @@ def read_trip_file(
     months and between the parts of one. Columns are found by name regardless of case;
     missing ones are NULL, unknown ones are left out.
     """
-    scans = _by_schema(spark, _parts(spark, path))
-    if not scans:
+    groups = parts_by_schema(spark, path) if parts is None else parts
+    if not groups:
         raise FileNotFoundError(f"{file_name} holds no files")
+    # Parts of a single schema need no list of files.
+    scans = [
+        spark.read.schema(group.schema).parquet(*(group.paths if len(groups) > 1 else [path])) for group in groups
+    ]
     stamp = ntz(loaded_at or utc_now())
     shaped = [
         _shaped(trips, file_name).select(

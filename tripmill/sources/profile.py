@@ -22,13 +22,34 @@ def files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def columns(trips: DataFrame) -> list[tuple[str, str, object]]:
-    """Name, type and one example of every column."""
-    example = trips.first()
-    return [
-        (f.name, f.dataType.simpleString(), example[f.name] if example else None)
-        for f in trips.schema.fields
+def columns(spark: SparkSession, path: str) -> DataFrame:
+    """Every column of each file: type, rows, nulls and an example (the smallest value), with the file's size and time.
+
+    One scan: a row per file is aggregated, then turned into a row per column.
+    """
+    trips = spark.read.parquet(path)
+    names = trips.columns
+    file = {"_name": "file_name", "_size": "file_size", "_time": "file_modification_time"}
+    rows = trips.select(
+        *[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names)],
+        *[F.col(f"_metadata.{of}").alias(alias) for alias, of in file.items()],
+    )
+    wide = rows.groupBy(*file).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(f"c{i}").alias(f"n{i}") for i in range(len(names))],
+        *[F.min(f"c{i}").cast("string").alias(f"v{i}") for i in range(len(names))],
+    )
+    items = [
+        F.struct(
+            F.lit(field.name).alias("column_name"), F.lit(field.dataType.simpleString()).alias("data_type"),
+            F.col("_rows").alias("nb_rows"), (F.col("_rows") - F.col(f"n{i}")).alias("nb_nulls"), F.col(f"v{i}").alias("example"),
+        )
+        for i, field in enumerate(trips.schema.fields)
     ]
+    return wide.select(
+        F.col("_name").alias("file_name"), F.col("_size").alias("file_size"), F.col("_time").alias("file_time"),
+        F.inline(F.array(*items)),
+    )
 
 
 def code_frequencies(trips: DataFrame, code_columns: Sequence[str] = CODE_COLUMNS) -> DataFrame:
