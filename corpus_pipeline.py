@@ -2,6 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
 ``documents``. ``run`` writes what a stage returns and reads it again for the next.
+
+Defined cases: a null or empty text is scored as a text without known words, has one empty line (a null text comes out of the second
+stage as an empty one), is near nothing, contains no benchmark item, and is packed as its end id; so it is kept throughout.
+Rows repeated with equal doc_id and text count as one document in the line counts, and one of them
+survives the third stage if it has words; rows that share a doc_id with different texts are documents each. A null doc_id is
+smaller than all others. Of a group of near copies the smallest doc_id stays; ties go by the text's hash. Texts of any
+length go through whole. Other columns of the documents are carried up to the last stage, whatever they are called.
+Empty tables (documents, labels, benchmark) give an empty result or drop nothing.
 """
 
 from __future__ import annotations

@@ -92,6 +92,27 @@ def test_token_files(odd_documents, no_documents, tmp_path):
     assert rows_of(token_files.read_token_files(token_files.write_token_files(no_documents, str(tmp_path / "b"), vocabulary_path()))) == []
 
 
+def test_documents_over_several_blocks(spark, tmp_path):
+    """Documents and ranges of ids that reach over blocks of 65,536 ids, with repeated ids and texts."""
+    import numpy as np
+
+    words = "alpha beta, gamma\n\ndelta  epsilon"
+    texts = [(1, words * 20_000), (2, "short"), (2, words * 9_000), (3, None), (2, "short"), (4, words * 30_000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    files = token_files.write_token_files(docs, str(tmp_path / "a"), vocabulary_path(), file_ids=10**7)
+    one = token_files.TokenFile(files.first()["file"])
+    tokenizer = encoder(vocabulary_path()).tokenizer
+    plain = {t: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for _, t in texts}
+    held = [ids.tolist() for _, ids in one.documents()]
+    assert one.doc_ids.tolist() == [1, 2, 2, 2, 3, 4] and sorted(map(len, held)) == sorted(len(plain[t]) for _, t in texts)
+    assert held[0] == plain[texts[0][1]] and held[4] == [2] and held[5] == plain[texts[5][1]] == one.document(5).tolist()
+    assert sorted(held[1:4]) == sorted(plain[t] for i, t in texts if i == 2)
+    assert one.n_ids > 4 * token_files.BLOCK
+    whole = np.concatenate([np.array(h) for h in held])
+    for start, stop in ((0, one.n_ids), (65_530, 65_540), (65_536, 131_072), (100_000, 300_001), (7, 7)):
+        assert (one.ids(start, stop) == whole[start:stop]).all()
+
+
 def test_sharding(odd_documents, no_documents):
     tree = sharding.planned_tree()
     got = rows_of(sharding.shard_documents(odd_documents, tree))

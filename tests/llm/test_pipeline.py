@@ -6,6 +6,7 @@ from itertools import combinations
 
 import corpus_pipeline as pipeline
 from tests.conftest import SF
+from tests.llm.conftest import LINE, TEXTS, WORDS
 from tripmill.llm import toxicity
 from tripmill.llm.line_dedup import WHITE
 
@@ -65,3 +66,31 @@ def test_stages_keep_what_brute_force_keeps(spark):
     packed = pipeline.STAGES[4][1](spark, rows, SF).collect()
     assert {r["doc_id"] for r in packed} == clean
     assert {r["doc_id"] for r in pipeline.run(spark, SF).collect()} == clean
+
+
+def test_odd_and_empty_rows(spark, odd_documents, no_documents, tmp_path):
+    """Nulls, empty and long texts, ties, repeated rows and clashing columns go through every stage."""
+    sf_dir = str(tmp_path)
+    odd_documents.write.parquet(f"{sf_dir}/documents.parquet")
+    for table, kind in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], kind).write.parquet(f"{sf_dir}/{table}.parquet")
+    rows, columns = spark.read.parquet(f"{sf_dir}/documents.parquet"), odd_documents.columns
+    seen = []
+    for _, stage in pipeline.STAGES[:-1]:
+        rows = stage(spark, rows, sf_dir)
+        assert rows.columns == columns
+        found = rows.collect()
+        assert {r["line"] for r in found} == {"extra line"} and {r["shard"] for r in found} == {"extra shard"}
+        seen.append(sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in found)))
+    whole = sorted((i is None, i or 0, t or "") for i, t in TEXTS)
+    assert seen[0] == whole and len(seen[1]) == len(TEXTS)
+    # A line of five documents stays in the last of them, 12, which has it on both of its rows.
+    assert [t for _, i, t in seen[1] if i in (8, 10, 11)] == ["own eight", "", ""] and (False, 12, f"{LINE}\n\nlast") in seen[1]
+    left = [i for _, i, _ in seen[2]]
+    assert 5 in left and not {6, 7} & set(left) and left.count(12) == 1 and {1, 2, 3, 10, 11} <= set(left)
+    assert seen[3] == seen[2] and any(t == WORDS for _, _, t in seen[2])
+    packed = pipeline.STAGES[-1][1](spark, rows, sf_dir).collect()
+    assert {(r["doc_id"]) for r in packed} == {None if none else i for none, i, _ in seen[3]}
+    assert sorted((r["sequence_id"], r["offset"]) for r in packed) == sorted({(r["sequence_id"], r["offset"]) for r in packed})
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, no_documents, sf_dir).count() == 0

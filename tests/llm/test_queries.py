@@ -123,3 +123,88 @@ def test_sharding(spark, texts):
         assert r.grown_shard in (r.shard, sharding.SHARDS)
     for _, group in got.groupby("shard"):
         assert sorted(group.slot) == list(range(len(group)))
+
+
+def test_shards_by_plain_draws(spark, texts):
+    """Region, rack and shard by weighted exponential draws, hashed in plain Python."""
+    import math
+
+    import xxhash
+
+    def draw(level, path, weights, key):
+        def score(child):
+            seed = xxhash.xxh64_intdigest(level.encode(), 42)
+            for step in (*path, child):
+                seed = xxhash.xxh64_intdigest(int(step).to_bytes(4, "little"), seed)
+            bits = xxhash.xxh64_intdigest(int(key).to_bytes(8, "little", signed=True), seed) >> 11
+            return -math.log((bits + 0.5) / 2**53) / weights[child], child
+
+        return min(map(score, range(len(weights))))[1]
+
+    def leaf(tree, key):
+        by_region, by_rack, by_shard = tree.weights()
+        region = draw("region", [], by_region, key)
+        rack = draw("rack", [region], by_rack[region], key)
+        return tree.leaves[region][rack][draw("shard", [region, rack], by_shard[region][rack], key)][0]
+
+    tree = sharding.planned_tree()
+    got = QUERIES["op10_sharding"](spark, SF).collect()
+    assert {r.doc_id: (r.shard, r.grown_shard) for r in got} == {
+        i: (leaf(tree, i), leaf(tree.grown(sharding.SHARDS), i)) for i in texts
+    }
+
+
+def test_scores_are_the_logits_of_the_fitted_weights(spark, texts):
+    """A text's logit is the sum of the weights of its distinct words, whatever its other columns say."""
+    import math
+    import re
+
+    import xxhash
+
+    from tripmill.llm import toxicity
+
+    weights = toxicity.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    got = {r.doc_id: (r.score, r.predicted) for r in QUERIES["op5_toxicity"](spark, SF).collect()}
+    for doc_id, text in texts.items():
+        found = sorted({xxhash.xxh3_64_intdigest(w) for w in re.findall(r"\w+", text.lower())})
+        logit = math.fsum([weights.get(0, -math.inf), *(weights.get(h, 0.0) for h in found)])
+        want = 1 / (1 + math.exp(-logit)) if logit > -700 else 0.0
+        assert abs(got[doc_id][0] - want) < 1e-9 and got[doc_id][1] == int(want >= 0.5)
+
+
+def test_fingerprints_by_plain_sets(spark, texts):
+    """A document's terms, its share of rare ones, and the subsets that its likeness compares, from plain sets."""
+    import math
+
+    from tripmill.llm import fingerprints as fp
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    distinct = {t for t in texts.values()}
+    df: dict[int, int] = {}
+    for text in distinct:
+        for h in {fp.term_hash(t) for t in fp.terms(text)}:
+            df[h] = df.get(h, 0) + 1
+    low, high = (len(distinct) / math.exp(i) for i in reversed(fp.IDF_BAND))
+    band, above = fp.lexicon(docs)
+    assert set(band.tolist()) == {h for h, n in df.items() if low <= n <= high}
+    assert set(above.tolist()) == {h for h, n in df.items() if n > high}
+    got = {r.doc_id: r for r in QUERIES["op1_fingerprints"](spark, SF).collect()}
+
+    def chosen(text):
+        """Terms in the band; if they are fewer than the share, the rarest others up to it."""
+        all_ = {fp.term_hash(t) for t in fp.terms(text)}
+        inside = {h for h in all_ if low <= df.get(h, 0) <= high}
+        missing = math.ceil(fp.SHARE * len(fp.terms(text))) - len(inside)
+        if missing <= 0:
+            return inside, 0
+        rare = sorted(h for h in all_ if df.get(h, 0) < low)[:missing]
+        common = sorted((h for h in all_ if df.get(h, 0) > high), key=lambda h: (df[h], h))[: missing - len(rare)]
+        return inside | set(rare) | set(common), missing
+
+    filled = 0
+    for doc_id, text in texts.items():
+        some, missing = chosen(text)
+        filled += missing > 0
+        hashes = np.array(sorted(some), dtype=np.uint64)
+        assert got[doc_id].fingerprint == fp._fingerprint(hashes, fp.depths(hashes)).text()
+    assert filled < len(texts)

@@ -29,6 +29,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -51,6 +52,8 @@ ORDER, BLOCK, SHARD, HOT = 3, 1 << 21, 3 << 20, 1 << 20
 LEFT = {2: 4.0}
 LEFT_BEYOND = 1.0
 FOLDS, HELD_OUT = 5, 1
+#: Seconds between the attempts to free a pass's shuffle files.
+RELEASE_SECONDS = 1.0
 #: Codes per unit of -log10, and the code of what was not seen.
 STEPS, UNSEEN = 16, 255
 _LOWER = bytes(b + 32 * (0x41 <= b <= 0x5A) for b in range(256))
@@ -278,15 +281,11 @@ class Level:
 
 
 class Block:
-    """Documents of a block: words once, tokens by block-local number."""
+    """Documents of a block, tokens by block-local number."""
 
     def __init__(self, uri: str) -> None:
-        raw = get(uri)
-        size = int(np.frombuffer(raw, "<i8", 1)[0])
-        self.doc_ids, self.nulls, self.train, self.lengths, self.tokens = unsqueeze(raw[8 : 8 + size])
-        self.doc_ids = np.where(self.doc_ids & 1, -(self.doc_ids + 1) // 2, self.doc_ids // 2)
-        self.words = pa.Codec("zstd").decompress(raw[16 + size :], int(np.frombuffer(raw, "<i8", 1, 8 + size)[0]), asbytes=True).split()
-        n = len(self.words)
+        self.doc_ids, self.nulls, self.train, self.lengths, self.tokens, n = unsqueeze(get(uri))
+        self.doc_ids, n = np.where(self.doc_ids & 1, -(self.doc_ids + 1) // 2, self.doc_ids // 2), int(n[0])
         # A document is start, words, end.
         ends = np.cumsum(self.lengths + 2)
         self.starts = ends - self.lengths - 2
@@ -299,13 +298,11 @@ class Block:
         self.trained = np.repeat(self.train.astype(bool), self.lengths + 2) & self.scored
 
     @staticmethod
-    def write(uri: str, doc_ids: list, train: list, tokens: list[np.ndarray], known: list[bytes]) -> None:
+    def write(uri: str, doc_ids: list, train: list, tokens: list[np.ndarray], n_words: int) -> None:
         ids = np.array([i or 0 for i in doc_ids], dtype=np.int64)
         lengths = np.array([len(t) for t in tokens])
-        head = squeeze(_signed(ids), np.array([i is None for i in doc_ids]), np.array(train), lengths, np.concatenate(tokens))
-        text = b" ".join(known)
-        sizes = [np.array([len(x)], "<i8").tobytes() for x in (head, text)]
-        put(uri, sizes[0] + head + sizes[1] + pa.Codec("zstd", compression_level=1).compress(text, asbytes=True))
+        nulls = np.array([i is None for i in doc_ids])
+        put(uri, squeeze(_signed(ids), nulls, np.array(train), lengths, np.concatenate(tokens), np.array([n_words])))
 
     def grams(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """For orders 2 to ``order``: of each distinct n-gram its context (n-gram of the order before), its shorter n-gram
@@ -341,6 +338,21 @@ class Plan:
     def block(self, block: int) -> str:
         return f"{self.root}/blocks/{block:012d}"
 
+    def words(self, block: int) -> list[bytes]:
+        """A block's words by number; they are kept until they have their places in the vocabulary."""
+        raw = get(f"{self.root}/words/{block:012d}")
+        return pa.Codec("zstd").decompress(raw[8:], int(np.frombuffer(raw, "<i8", 1)[0]), asbytes=True).split()
+
+    def put_words(self, block: int, known: list[bytes]) -> None:
+        text = b" ".join(known)
+        packed = pa.Codec("zstd", compression_level=1).compress(text, asbytes=True)
+        put(f"{self.root}/words/{block:012d}", np.array([len(text)], "<i8").tobytes() + packed)
+
+    def forget_words(self) -> None:
+        store, path = _store(f"{self.root}/words")
+        if store.get_file_info(path).type.name == "Directory":
+            store.delete_dir(path)
+
     def told(self, block: int, order: int) -> str:
         return f"{self.root}/told{order}/{block:012d}"
 
@@ -485,7 +497,7 @@ def _keep(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
         block = table.column("block")[0].as_py()
         bodies = [b for _, b in sorted(zip(table.column("shard").to_pylist(), table.column("body").to_pylist()))]
         if order == 1:
-            raw = _vocabulary(plan, Block(plan.block(block)), bodies)
+            raw = _vocabulary(plan, plan.words(block), bodies)
         else:
             raw = np.array([len(bodies), *map(len, bodies)], "<i8").tobytes() + b"".join(bodies)
         put(plan.told(block, order), raw)
@@ -494,10 +506,10 @@ def _keep(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _vocabulary(plan: Plan, own: Block, bodies: list[bytes]) -> bytes:
+def _vocabulary(plan: Plan, own: list[bytes], bodies: list[bytes]) -> bytes:
     """Counts and places of a block's words, and the number of distinct training words."""
-    shard = word_shards(own.words, plan.shards)
-    counts, place, distinct = np.zeros(len(own.words), np.int64), np.zeros(len(own.words), np.int64), 0
+    shard = word_shards(own, plan.shards)
+    counts, place, distinct = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64), 0
     for s, body in enumerate(bodies):
         of, ranks, size = unsqueeze(body)
         at = np.flatnonzero(shard == s)
@@ -537,9 +549,9 @@ def _ask_words(plan: Plan) -> Callable:
     def run(batches):
         for batch in batches:
             for block in batch.column(0).to_pylist():
-                own = Block(plan.block(block))
-                counts = np.bincount(own.flat[own.trained], minlength=own.size)[: len(own.words)]
-                shard, some, found = word_shards(own.words, plan.shards), np.array(own.words, dtype=object), []
+                own, known = Block(plan.block(block)), plan.words(block)
+                counts = np.bincount(own.flat[own.trained], minlength=own.size)[: len(known)]
+                shard, some, found = word_shards(known, plan.shards), np.array(known, dtype=object), []
                 for s in range(plan.shards):
                     at = np.flatnonzero(shard == s)
                     text, body = b" ".join(some[at].tolist()), squeeze(counts[at])
@@ -614,7 +626,8 @@ def _cut(plan: Plan, size: int, train: Column, docs: DataFrame) -> DataFrame:
         def flush():
             nonlocal doc_ids, flags, tokens, held, count
             number = part << 20 | count
-            Block.write(plan.block(number), doc_ids, flags, tokens, list(known))
+            Block.write(plan.block(number), doc_ids, flags, tokens, len(known))
+            plan.put_words(number, list(known))
             trained = sum(len(t) + 1 for t, f in zip(tokens, flags) if f)
             values = [number, held, trained, sum(flags)]
             doc_ids, flags, tokens, held, count = [], [], [], 0, count + 1
@@ -641,9 +654,12 @@ def _cut(plan: Plan, size: int, train: Column, docs: DataFrame) -> DataFrame:
 
 
 def _release(spark) -> None:
-    """Let go of the shuffle files of a pass that has ended: Spark drops them when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let go of the shuffle files of a pass that has ended: Spark drops them when the driver collects its garbage,
+    and py4j lets go of the plan a moment after Python has."""
+    for _ in range(3):
+        gc.collect()
+        time.sleep(RELEASE_SECONDS)
+        spark.sparkContext._jvm.System.gc()
 
 
 def score_documents(
@@ -660,11 +676,15 @@ def score_documents(
     total = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "trained", "documents")]).first()
     plan = Plan(plan.root, order, max(1, ceil(total["tokens"] / shard)), total["trained"], total["documents"], hot)
     numbers = blocks.select("block").repartitionByRange(max(1, blocks.count()), "block")
+    rows = None
     for k in range(1, order + 1):
         ask, answer = (_ask_words(plan), _answer_words) if k == 1 else (_ask(plan, k), _answer(plan, k))
         rows = numbers.mapInArrow(ask, _TO_SHARD).groupBy("shard").applyInArrow(answer, _TO_BLOCK).groupBy("block")
         if k < order:
             rows.applyInArrow(_keep(plan, k), "block long").count()
+            rows = None
+            if k == 1:
+                plan.forget_words()
             _release(spark)
     rows = rows.applyInArrow(_finish(plan), _SCORES)
     return written(rows, "scores").withColumn("train_tokens", F.lit(plan.tokens).cast("long"))

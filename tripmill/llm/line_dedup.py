@@ -79,16 +79,19 @@ class LineRuns:
         self._tables.append(name)
         return name
 
-    def _dealt(self, rows: DataFrame) -> DataFrame:
-        return rows.repartition(self.buckets, *HASH)
-
-    def add(self, lines: DataFrame) -> None:
-        """One more batch; its doc_ids are below those of all batches before."""
-        own = (
-            self._dealt(lines.groupBy(*HASH, "doc_id").agg(F.lit(1).alias("n")))
+    @staticmethod
+    def _counted(lines: DataFrame) -> DataFrame:
+        """Documents and holder of each key. Distinct (key, document) pairs lie apart; each task counts its own of them, so
+        that a line which all documents hold sends a row per task. By as many partitions as buckets, a bucket is one file."""
+        return (
+            lines.groupBy(*HASH, "doc_id").agg(F.lit(1).alias("n"))
             .groupBy(*HASH)
             .agg(F.count("n").alias("n_docs"), F.max("doc_id").alias("holder"), F.lit(True).alias("held"))
         )
+
+    def add(self, lines: DataFrame) -> None:
+        """One more batch; its doc_ids are below those of all batches before."""
+        own = self._counted(lines)
         held = [self.spark.table(t).where("held").select(*HASH) for level in self.levels for t in level]
         if held:
             own = self.spark.table(self._write(own))

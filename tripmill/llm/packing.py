@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import numbered, read, written
+from tripmill.llm.common import lean, numbered, read, written
 from tripmill.llm.tokens import vocabulary_path
 
 #: Production parameters.
@@ -58,7 +58,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
                 )
 
     rows = encoded(docs, vocabulary, end_id).select("doc_id", "ids")
-    return rows.mapInArrow(run, PIECES + ", ids binary" * with_ids)
+    return rows.mapInArrow(lean(run), PIECES + ", ids binary" * with_ids)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Iterator[tuple[int, int, int, int, int, int]]:
@@ -131,7 +131,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         list(plan(counts, capacity)), "length long, low long, high long, first long, each long, base long"
     )
     order = [F.col(c) for c in ("doc_id", "copy", "piece")]
-    ranked = numbered(pieces, ["length"], order, F.col("doc_id"), buckets, "rank")
+    # Dealt by document, copy and piece: neither a long document nor a repeated id is one task's.
+    ranked = numbered(pieces, ["length"], order, F.struct(*order), buckets, "rank")
     spot = spots.withColumnRenamed("length", "spot_length")
     inside = F.col("rank") - F.col("low")
     # The intervals are bounded by the capacity, not by the number of documents.

@@ -34,11 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import has_columns, read
+from tripmill.llm.common import has_columns, read, trim
 from tripmill.session import scratch_dir
 
 #: Production parameters: bytes of a string, of a gram, of a shard; about anchors and bytes in a range.
-LENGTH, GRAM, SHARD_BYTES, RANGE_BYTES = 50, 24, 1 << 20, 2 << 20
+LENGTH, GRAM, SHARD_BYTES, RANGE_BYTES = 50, 24, 1 << 20, 1 << 20
 #: Parallel lanes of Kasai's scan are this many positions long.
 LANE = 16
 _BASE = 0x9E3779B97F4A7C15
@@ -372,6 +372,11 @@ def settle(shard: Shard, first, end, anchor, elsewhere) -> tuple[tuple, tuple]:
 
 def _settled(parts: int):
     def run(key, shards: pa.Table, bits: pa.Table) -> pa.Table:
+        found = settled(shards, bits)
+        trim()
+        return found
+
+    def settled(shards: pa.Table, bits: pa.Table) -> pa.Table:
         out: list[tuple] = []
         for row in shards.to_pylist():
             shard = Shard(row)
@@ -424,6 +429,12 @@ def merge_runs(runs: list[tuple[np.ndarray, np.ndarray]], owner: np.ndarray) ->
 
 
 def _judged(table: pa.Table) -> pa.Table:
+    found = _found(_compared(table))
+    trim()
+    return found
+
+
+def _compared(table: pa.Table) -> list[tuple]:
     """One anchor range: strings of which another shard has a smaller document."""
     rows = table.to_pylist()
     out = [(r["part"], r["shard"], r["starts"], r["ends"], None, None) for r in rows if r["data"] is None]
@@ -475,7 +486,7 @@ def _judged(table: pa.Table) -> pa.Table:
             starts = np.sort(position[gone[from_row[gone] == k]])
             starts, ends = _merged_ranges(starts, starts + LENGTH)
             out.append((rows[k]["part"], rows[k]["shard"], starts.tobytes(), ends.tobytes(), None, None))
-    return _found(out)
+    return out
 
 
 def _cut(key, shards: pa.Table, found: pa.Table) -> pa.Table:

@@ -13,7 +13,7 @@ under a name of its own and moves the file into place when it is complete; only
 the tasks that succeeded are read.
 
 Defined cases: a null text is empty and holds only the end id; a null doc_id sorts first and is
-read back as null; rows that share a doc_id stay rows of their own, ordered by their ids; an empty
+read back as null; rows that share a doc_id stay rows of their own, ordered by a hash of their texts; an empty
 table writes no file; other columns are ignored. A text may be longer than a block or a file.
 """
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from math import ceil
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import has_columns, read, written
+from tripmill.llm.common import has_columns, lean, read, written
 from tripmill.llm.tokens import encoder, vocabulary_path
 from tripmill.session import scratch_dir
 
@@ -162,51 +163,68 @@ def _write_file(uri: str, width: int, documents: Iterator[tuple[int | None, byte
     return len(doc_ids), n
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    has_columns(docs, "doc_id", "text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _ids(batch: pa.RecordBatch, vocabulary: str, end: bytes) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of (doc_id, text) and the ids of their texts, with the end id."""
+    ids_of = encoder(vocabulary).encode
+    for k in range(0, batch.num_rows, 1000):
+        some = batch.slice(k, 1000)
+        yield some, [raw + end for raw in ids_of([t or "" for t in some.column(1).to_pylist()])]
+
+
 def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     """doc_id and ids (unsigned 32-bit bytes) of every document, with the end id."""
-    has_columns(docs, "doc_id", "text")
     end = np.uint32(end_id).tobytes()
 
     def run(batches):
-        ids_of = encoder(vocabulary).encode
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                some = batch.slice(k, 1000)
-                ids = [raw + end for raw in ids_of([t or "" for t in some.column(1).to_pylist()])]
+            for some, ids in _ids(batch, vocabulary, end):
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "n_tokens", "ids"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return _texts(docs).mapInArrow(lean(run), "doc_id long, n_tokens long, ids binary")
 
 
 def write_token_files(
     docs: DataFrame, uri: str, vocabulary: str, end_id: int = END_ID, file_ids: int = FILE_IDS
 ) -> DataFrame:
-    """Writes the files below ``uri``; a row per file: part, file, n_docs, n_ids."""
-    rows = written(encoded(docs, vocabulary, end_id), "token-ids")
-    total = rows.agg(F.sum("n_tokens")).first()[0] or 0
+    """Writes the files below ``uri``; a row per file: part, file, n_docs, n_ids.
+
+    The texts are ordered, and encoded and packed in the same task: ids are never written but packed. Files get about
+    ``file_ids`` ids, at four bytes of text each.
+    """
+    rows = _texts(docs)
+    total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 4)).first()[0] or 0
     width = max(1, int(encoder(vocabulary).size - 1).bit_length(), int(end_id).bit_length())
+    end = np.uint32(end_id).tobytes()
     _store(uri)[0].create_dir(_store(uri)[1], recursive=True)
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        rows = ((d, i) for b in batches for d, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-        first = next(rows, None)
+
+        def documents() -> Iterator[tuple[int | None, bytes]]:
+            for batch in batches:
+                for some, ids in _ids(batch, vocabulary, end):
+                    yield from zip(some.column(0).to_pylist(), ids)
+
+        found = documents()
+        first = next(found, None)
         if first is None:
             return
         name = f"{uri}/part-{part:06d}-{uuid.uuid4().hex}.tpk"
-        from itertools import chain
-
-        n_docs, n_ids = _write_file(name, width, chain([first], rows))
+        n_docs, n_ids = _write_file(name, width, chain([first], found))
         yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "n_docs": [n_docs], "n_ids": [n_ids]})
 
-    ordered = rows.repartitionByRange(max(1, ceil(total / file_ids)), "doc_id").sortWithinPartitions("doc_id", "ids")
-    return written(
-        ordered.select("doc_id", "ids").mapInArrow(run, "part long, file string, n_docs long, n_ids long"), "token-files"
-    )
+    keyed = rows.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
+    parts = max(1, ceil(total / (4 * file_ids)))
+    ordered = keyed.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    return written(ordered.mapInArrow(lean(run), "part long, file string, n_docs long, n_ids long"), "token-files")
 
 
 def read_token_files(files: DataFrame) -> DataFrame:

@@ -10,25 +10,20 @@ from __future__ import annotations
 
 import re
 from itertools import chain, islice
-from struct import pack
 
 import numpy as np
 
 #: The file of the vocabulary; a parameter of every operator that counts or writes tokens.
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 #: Pieces that a worker keeps; beyond, the later half is forgotten.
-CACHED_PIECES = 250_000
+CACHED_PIECES = 120_000
 #: White space other than a single blank or line feed between words.
 _UNUSUAL = re.compile(r"[^\S \n]")
 _PIECE = re.compile(r"\s*\S+|\s+\Z")
-#: Byte-level vocabularies write a byte as itself if it is printable, else as the next character from 256 on.
-_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-ALPHABET = {b: chr(b) for b in _PRINTABLE} | {
-    b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _PRINTABLE)
-}
-BLANK = ALPHABET[32]
 #: Pieces that are encoded in one call.
 _AT_ONCE = 2_000
+#: Slots that tell which words came in an earlier batch.
+_SLOTS = 1 << 22
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -53,7 +48,7 @@ class Encoder:
         #: Ids of pieces of texts with unusual white space.
         self.pieces: dict[str, bytes] = {}
         #: Marks words of earlier batches by their hash.
-        self.door = bytearray(1 << 24)
+        self.door = bytearray(_SLOTS)
         pre = self.tokenizer.pre_tokenizer
         added = self.tokenizer.get_added_tokens_decoder().values()
         #: Added tokens that reach over white space: a text that holds one is encoded whole.
@@ -75,27 +70,44 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _letters(self, cores: list[str], lead: str) -> list[bytes]:
+        """Ids of words of letters that follow ``lead``, by one call: the pre-tokenizer makes a piece of each word, with its
+        blank, and one of each line feed."""
+        step, text = (1, " " + " ".join(cores)) if lead == " " else (2, "\n".join(cores))
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        pieces = np.asarray(found.word_ids, dtype=np.int64)
+        if len(pieces) and pieces[-1] != step * (len(cores) - 1):  # other pieces than expected
+            return self._ids([" " + c if lead == " " else c for c in cores])
+        raw, first = np.asarray(found.ids, dtype="<u4").tobytes(), step * np.arange(len(cores))
+        starts, stops = (4 * np.searchsorted(pieces, at) for at in (first, first + 1))
+        return [raw[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
+
     def _learn_words(self, words: set[str]) -> list[str]:
         """Adds the ids of unknown words; those that no earlier batch had are returned."""
         known, other, new = self.words, [], []
-        tokenize, door, mask = self.tokenizer.model.tokenize, self.door, len(self.door) - 1
+        door, mask = self.door, len(self.door) - 1
+        # Words of letters alone, after a blank and after a line feed: the word, its letters, its ids' tail.
+        letters: dict[str, list[tuple[str, str, bytes]]] = {" ": [], "\n": []}
         for word in words - known.keys():
             slot = hash(word) & mask
             if not door[slot]:
                 door[slot] = 1
                 new.append(word)
-            head, core, tail, lead = b"", word, b"", BLANK
+            core, tail, lead = word, b"", " "
             if word[:1] == "\n":
-                head, core, lead = self.feed, word[1:], ""
+                core, lead = word[1:], "\n"
             if core[-1:] in self.marks and core[-2:-1].isalpha():
                 tail, core = self.marks[core[-1]], core[:-1]
-            # Letters alone are one piece for the pre-tokenizer: the model can have them as they are.
             if self.byte_level and core.isalpha():
-                letters = core if core.isascii() else core.encode().decode("latin1").translate(ALPHABET)
-                ids = [t.id for t in tokenize(lead + letters)]
-                known[word] = head + pack(f"<{len(ids)}I", *ids) + tail
+                letters[lead].append((word, core, tail))
             else:
                 other.append(word)
+        for lead, some in letters.items():
+            for k in range(0, len(some), _AT_ONCE):
+                part = some[k : k + _AT_ONCE]
+                head = self.feed if lead == "\n" else b""
+                for (word, _, tail), ids in zip(part, self._letters([core for _, core, _ in part], lead)):
+                    known[word] = head + ids + tail
         for k in range(0, len(other), _AT_ONCE):
             some = other[k : k + _AT_ONCE]
             known.update(zip(some, self._ids([w if w[:1] == "\n" else " " + w for w in some])))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import has_columns, read
+from tripmill.llm.common import give_back, has_columns, lean, read
 
 #: Production parameters. TRAIN_DOCUMENTS bounds what is learnt from, in documents.
 TRAIN_DOCUMENTS, EPOCHS, MINI_BATCH = 12_000, 30, 64
@@ -38,7 +38,7 @@ FOLDS, THRESHOLD = 5, 0.5
 TOXIC_WEIGHT = 2.0
 #: A word is a feature if its counts by label differ by this log-likelihood ratio (p below 10^-6).
 MIN_RATIO = 25.0
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 #: Identity terms by group; a term is swapped for the next of its group.
 IDENTITY = {
     "gender": "men women",
@@ -186,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCUMENTS, count
                 names=["label", "labelled", "own", "other"],
             )
 
-    found = sample.mapInArrow(run, "label int, labelled long, own binary, other binary").toArrow().to_pylist()
+    found = sample.mapInArrow(lean(run), "label int, labelled long, own binary, other binary").toArrow().to_pylist()
     # The order is that of a hash, so that it follows neither ids nor partitions.
     found.sort(key=lambda r: (xxhash.xxh3_64_intdigest(str(r["labelled"])), r["own"]))
     arrays = [(r["label"], *(None if v is None else np.frombuffer(v, np.uint64) for v in (r["own"], r["other"]))) for r in found]
@@ -218,8 +218,12 @@ def score_documents(docs: DataFrame, weights: dict[int, float]) -> DataFrame:
     @F.pandas_udf("double")
     def score(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = Scorer(held.value)
-        for texts in series:
-            yield pd.Series([of(t or "") for t in texts], dtype="float64")
+        try:
+            for texts in series:
+                yield pd.Series([of(t or "") for t in texts], dtype="float64")
+        finally:
+            del of
+            give_back()
 
     return docs.select(F.struct(*docs.columns).alias("row"), score(F.col("text").cast("string")).alias("score"))
 

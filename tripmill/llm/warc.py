@@ -238,7 +238,7 @@ class WarcWriter(DataSourceWriter):
                 if out is not None:
                     close()
                 files.append(f"{top}/_{uuid.uuid4().hex}.warc.gz")
-                out, index, at = store.open_output_stream(files[-1]), [], 0
+                out, index, at = store.open_output_stream(files[-1], compression=None), [], 0
             member = record(row.asDict())
             out.write(member)
             index.append((at, len(member), row["record_type"]))
