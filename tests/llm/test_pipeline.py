@@ -8,6 +8,7 @@ import corpus_pipeline as pipeline
 from tests.conftest import SF
 from tests.llm.conftest import LINE, TEXTS, WORDS
 from tripmill.llm import toxicity
+from tripmill.llm.common import written
 from tripmill.llm.line_dedup import WHITE
 
 KEYS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -77,7 +78,7 @@ def test_odd_and_empty_rows(spark, odd_documents, no_documents, tmp_path):
     rows, columns = spark.read.parquet(f"{sf_dir}/documents.parquet"), odd_documents.columns
     seen = []
     for _, stage in pipeline.STAGES[:-1]:
-        rows = stage(spark, rows, sf_dir)
+        rows = written(stage(spark, rows, sf_dir), "stage")
         assert rows.columns == columns
         found = rows.collect()
         assert {r["line"] for r in found} == {"extra line"} and {r["shard"] for r in found} == {"extra shard"}
