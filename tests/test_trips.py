@@ -10,6 +10,7 @@ from tripmill import fixtures as fx
 from tripmill.contracts import (
     BUSINESS_KEY, ENRICHED_TRIPS, FACT_TRIPS, FLAGGED_TRIPS, RAW_TRIPS, STAGED_TRIPS, PipelineParams,
 )
+from tripmill.functions import key_values, round_rows, round_to
 from tripmill.operators.rules import flag_trips
 from tripmill.operators.staging import stage_trips, stage_zones
 from tripmill.operators.trips import (
@@ -175,3 +176,35 @@ def test_next_event_is_found_across_minutes(spark):
     )
     ours = fx._with_next_event(events)
     assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_amounts_group_as_their_ten_decimals(spark):
+    """Keys in whole steps put together what decimals put together, however near to a step or to the limit."""
+    near = [0.3, 0.1 + 0.2, 5.0, 5.0 + 1e-12, 5.0 + 4e-11, 5.0 + 6e-11, 5.0 + 1e-10, 9999.99999999999, 1e4, 10000.0001]
+    apart = [0.0, -0.0, 0.00005, 1e-10, 4e-11, 123456.78, 123456.78 + 1e-11, 1e25, 2e25, float("nan"), float("inf"), None]
+    amounts = [*near, *apart, *[-x for x in near], *[n / 7 for n in range(200)], *[n / 100 - 0.5 for n in range(200)]]
+    rows = spark.createDataFrame([(2, x, 1.0, 1.0) for x in amounts], "vendor_key int, fare_amount double, total_amount double, trip_distance_miles double")
+    rows = rows.withColumns({c: F.lit(None).cast("int") for c in BUSINESS_KEY if c not in rows.columns})
+    fixed = F.col("fare_amount").try_cast("decimal(28,10)")
+    by_decimal = rows.groupBy(fixed, F.when(fixed.isNull(), F.col("fare_amount"))).agg(F.count("*").alias("n"))
+    by_key = rows.groupBy(*key_values()).agg(F.count("*").alias("n"), F.countDistinct(fixed).alias("different"))
+    assert sorted(r.n for r in by_key.collect()) == sorted(r.n for r in by_decimal.collect())
+    assert max(r.different for r in by_key.collect()) == 1
+
+
+def test_most_amounts_need_no_decimal(staged):
+    """A decimal is made from a double's text; ordinary amounts are compared as whole numbers, by one hash first."""
+    trips = staged({}, {"fare_amount": 21.5}, {"fare_amount": -21.55})
+    keys = trips.select(*[value.alias(f"k{i}") for i, value in enumerate(key_values())]).collect()
+    whole = [(r.k5, r.k6, r.k7, r.k8) for r in keys]
+    assert all(isinstance(w, int) and (d, x) == (None, None) and isinstance(f, int) for w, d, x, f in whole)
+    plan = keep_first_copy(trips)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number() windowspecdefinition(_hash" in plan
+
+
+def test_rows_are_rounded_as_decimals_are(spark):
+    values = [0.005, 0.015, 1.005, 2.675, -0.005, -0.001, -1.005, 0.00499999999996, 0.0049999, 1e6, 999999.995, 1e25, None]
+    values += [float("nan"), float("inf"), 0.1 + 0.2, *[n / 1000 for n in range(-300, 300)], *[n / 7 for n in range(300)]]
+    rows = spark.createDataFrame([(x,) for x in values], "x double")
+    both = rows.select(*[f(F.col("x"), 2).cast("string").alias(f.__name__) for f in (round_rows, round_to)])
+    assert [r for r in both.collect() if r.round_rows != r.round_to] == []

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.contracts import BUSINESS_KEY, CARD, ENRICHED_TRIPS, FACT_TRIPS, VENDOR_WITH_FEES_IN_EXTRA
-from tripmill.functions import date_key, iso_weekday, key_values, ratio, round_to, trip_key
+from tripmill.functions import date_key, iso_weekday, key_values, ratio, round_rows, trip_key
 
 
 def keep_first_copy(trips: DataFrame, kept: str | None = None) -> DataFrame:
@@ -23,14 +23,15 @@ def keep_first_copy(trips: DataFrame, kept: str | None = None) -> DataFrame:
     tie_breakers = [c for c in trips.columns if c not in BUSINESS_KEY and c != "loaded_at"]
     # Amounts that differ beyond the tenth decimal make one key; the smallest comes first.
     order = ["loaded_at", *tie_breakers, *BUSINESS_KEY]
-    if kept is None:
-        first = Window.partitionBy(*key_values()).orderBy(*order)
-        return trips.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
-    # The key as columns: what is dealt by them once stays dealt.
+    # The key as columns: what is dealt by them once stays dealt. Its hash comes first, so that a sort compares
+    # eight bytes and looks at the key only where these are equal.
     key = {f"_key{i}": value for i, value in enumerate(key_values())}
-    same = Window.partitionBy(*key)
-    first = trips.withColumns(key).withColumn("_copy", F.row_number().over(same.orderBy(*order))).where("_copy = 1")
-    return first.withColumn(kept, F.count(F.lit(1)).over(same)).drop("_copy", *key)
+    keyed = trips.withColumns(key).withColumn("_hash", F.xxhash64(*key))
+    same = Window.partitionBy("_hash", *key)
+    first = keyed.withColumn("_copy", F.row_number().over(same.orderBy(*order))).where("_copy = 1")
+    if kept is not None:
+        first = first.withColumn(kept, F.count(F.lit(1)).over(same))
+    return first.drop("_copy", "_hash", *key)
 
 
 def valid_trips(flagged: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def enrich_trips(flagged: DataFrame, kept: str | None = None) -> DataFrame:
     # Tips are recorded for card payments only.
     tip_rate = F.when(
         (F.col("payment_type_key") == CARD) & (fare > 0),
-        round_to(F.col("tip_amount") / fare * 100, 2),
+        round_rows(F.col("tip_amount") / fare * 100, 2),
     )
     derived = distinct.withColumns(
         {
@@ -56,8 +57,8 @@ def enrich_trips(flagged: DataFrame, kept: str | None = None) -> DataFrame:
             "pickup_hour": F.hour("pickup_at"),
             "pickup_day_of_week_iso": iso_weekday(day),
             "is_weekend": iso_weekday(day) >= 6,
-            "avg_speed_mph": round_to(speed, 2),
-            "trip_duration_min": round_to(minutes, 2),
+            "avg_speed_mph": round_rows(speed, 2),
+            "trip_duration_min": round_rows(minutes, 2),
             "tip_rate_pct": tip_rate,
         }
     )
