@@ -359,3 +359,37 @@ def test_shards_agree_with_one(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "RANGE_BYTES", 500)
     assert sorted(rows_of(suffix_dedup.remove_repeats(docs)), key=lambda r: r["doc_id"]) == whole
     assert sum(r["n_removed"] for r in whole) > 1000 and zlib.crc32(whole[0]["kept"]) == zlib.crc32(texts[0][1].encode())
+
+
+def test_anchors_spread_evenly_over_ranges():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 123, 200_000).astype(np.uint8)
+    row = {"ids": np.array([1]).tobytes(), "ends": np.array([len(data)]).tobytes(), "data": data.tobytes()}
+    first, end, anchor = suffix_dedup.Shard(row).strings()
+    # Anchors are minima of many hashes: by their own value nearly all are in the first ranges.
+    cut = suffix_dedup._ranges(np.sort(anchor), 20)
+    assert np.diff(cut).max() < 1.2 * len(anchor) / 20 and np.diff(cut).min() > 0.8 * len(anchor) / 20
+    # Found piece by piece, they are those of the whole.
+    assert (np.repeat(anchor, end - first) == suffix_dedup._mix(suffix_dedup.anchors(data))).all()
+
+
+def test_rows_of_many_shards_are_few_sorted_runs(monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [rng.integers(97, 123, 60).astype(np.uint8) for _ in range(30)]
+    rows, expected = [], {}
+    owners = {k: [] for k in range(30)}
+    for shard in range(300):
+        held = rng.choice(30, 3, replace=False)
+        docs = rng.integers(0, 1000, 3)
+        for k, doc in zip(held.tolist(), docs.tolist()):
+            owners[k].append(doc)
+        starts = np.array([100, 300, 500])
+        rows.append((0, shard, starts.tobytes(), (starts + 11).tobytes(), docs.tobytes(), np.concatenate([words[k] for k in held]).tobytes()))
+        expected[shard] = list(zip(starts.tolist(), held.tolist(), docs.tolist()))
+    seen, merge = [], suffix_dedup.merge_runs
+    monkeypatch.setattr(suffix_dedup, "merge_runs", lambda runs, owner: seen.append(len(runs)) or merge(runs, owner))
+    found = {s: (np.frombuffer(a, np.int64).tolist(), np.frombuffer(b, np.int64).tolist()) for _, s, a, b, _, _ in suffix_dedup._compared(suffix_dedup._found(rows))}
+    assert seen == [1]
+    for shard, strings in expected.items():
+        gone = [start for start, k, doc in strings if doc > min(owners[k])]
+        assert found.get(shard, ([], [])) == (gone, [start + 60 for start in gone])

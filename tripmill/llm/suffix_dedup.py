@@ -37,8 +37,10 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import has_columns, read, trim
 from tripmill.session import scratch_dir
 
-#: Production parameters: bytes of a string, of a gram, of a shard; about anchors and bytes in a range.
-LENGTH, GRAM, SHARD_BYTES, RANGE_BYTES = 50, 24, 1 << 20, 1 << 20
+#: Production parameters: bytes of a string, of a gram, of a shard, about of text in a range of anchors.
+LENGTH, GRAM, SHARD_BYTES, RANGE_BYTES = 50, 24, 1 << 20, 8 << 20
+#: Anchors are found for so many positions at a time: what that takes fits the processor's cache.
+AT_ONCE = 1 << 15
 #: Parallel lanes of Kasai's scan are this many positions long.
 LANE = 16
 _BASE = 0x9E3779B97F4A7C15
@@ -170,8 +172,10 @@ class Shard:
 
     def strings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Runs of strings of one document with one anchor: first, end, anchor."""
-        least = anchors(self.data) if len(self.data) >= LENGTH else np.empty(0, np.uint64)
-        n = len(least)
+        n = max(0, len(self.data) - LENGTH + 1)
+        least = np.empty(n, np.uint64)
+        for k in range(0, n, AT_ONCE):
+            least[k : k + AT_ONCE] = anchors(self.data[k : k + AT_ONCE + LENGTH - 1])
         if not n:
             return np.empty(0, np.int64), np.empty(0, np.int64), least
         # A string that would cross the end of its document is none.
@@ -186,7 +190,8 @@ class Shard:
         first = np.flatnonzero(change)
         end = np.r_[first[1:], n]
         kept = valid[first]
-        return first[kept], end[kept], least[first[kept]]
+        # The smallest of many hashes is a small number: mixed again, anchors spread evenly over ranges.
+        return first[kept], end[kept], _mix(least[first[kept]])
 
     def document(self, positions: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, positions, side="right")
@@ -240,10 +245,21 @@ def shard_table(docs: DataFrame) -> tuple[DataFrame, int, int]:
 _KEYS = "part int, shard long, keys binary"
 
 
+def _range_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
 def _ranges(keys: np.ndarray, parts: int) -> np.ndarray:
     """Where each hash range begins in sorted keys."""
-    of = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-    return np.searchsorted(of, np.arange(parts + 1))
+    return np.searchsorted(_range_of(keys, parts), np.arange(parts + 1))
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, the order that sorts all, and the number of each sorted key among the distinct."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    fresh = np.r_[True, ordered[1:] != ordered[:-1]][: len(keys)]
+    return ordered[fresh], order, np.cumsum(fresh) - 1
 
 
 def _part_keys(table: DataFrame, parts: int) -> DataFrame:
@@ -252,7 +268,7 @@ def _part_keys(table: DataFrame, parts: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                keys = np.unique(Shard(row).strings()[2])
+                keys = _distinct(Shard(row).strings()[2])[0]
                 cut = _ranges(keys, parts)
                 out = [
                     (p, row["shard"], keys[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 4::-1].T.tobytes())
@@ -325,7 +341,7 @@ def settle(shard: Shard, first, end, anchor, elsewhere) -> tuple[tuple, tuple]:
     none = np.empty(0, np.int64)
     document = shard.document(first)
     # Anchors of one document in this shard, and of no other shard, have nothing to be compared with.
-    order = np.lexsort((shard.ids[document], anchor))
+    order = np.argsort(anchor)
     group = np.r_[True, anchor[order][1:] != anchor[order][:-1]] if len(order) else np.empty(0, bool)
     starts = np.flatnonzero(group)
     ids = shard.ids[document][order]
@@ -381,22 +397,29 @@ def _settled(parts: int):
         for row in shards.to_pylist():
             shard = Shard(row)
             first, end, anchor = shard.strings()
-            keys = np.unique(anchor)
+            keys, order, number = _distinct(anchor)
             again = np.zeros(len(keys), bool)
             cut = _ranges(keys, parts)
             for r in bits.to_pylist():
                 a, b = cut[r["part"]], cut[r["part"] + 1]
                 again[a:b] = np.unpackbits(np.frombuffer(r["keys"], np.uint8), count=b - a).astype(bool)
-            elsewhere = again[np.searchsorted(keys, anchor)] if len(keys) else np.zeros(0, bool)
+            elsewhere = np.empty(len(anchor), bool)
+            elsewhere[order] = again[number]
             (gone, until), (starts, ends, runs) = settle(shard, first, end, anchor, elsewhere)
             if len(gone):
                 out.append((row["shard"] % parts, row["shard"], gone.tobytes(), until.tobytes(), None, None))
-            of = ((anchor[runs] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64) if len(runs) else runs
+            of = _range_of(anchor[runs], parts)
+            by = np.argsort(of, kind="stable")
+            starts, ends = starts[by], ends[by]
             owner = shard.ids[shard.document(starts)]
-            for p in np.unique(of):
-                some = of == p
-                data = shard.data[_spread(starts[some], ends[some] + LENGTH - 1)]
-                out.append((int(p), row["shard"], starts[some].tobytes(), ends[some].tobytes(), owner[some].tobytes(), data.tobytes()))
+            size = ends - starts + LENGTH - 1
+            data = shard.data[_spread(starts, ends + LENGTH - 1)]
+            cut, until = np.searchsorted(of[by], np.arange(parts + 1)), np.r_[0, np.cumsum(size)]
+            for p in np.flatnonzero(np.diff(cut)).tolist():
+                a, b = cut[p], cut[p + 1]
+                out.append(
+                    (p, row["shard"], starts[a:b].tobytes(), ends[a:b].tobytes(), owner[a:b].tobytes(), data[until[a] : until[b]].tobytes())
+                )
         return _found(out)
 
     return run
@@ -450,23 +473,25 @@ def _compared(table: pa.Table) -> list[tuple]:
         at = _spread(base, base + size)  # of each string in data
         position = _spread(first, end)  # of each string in its shard
         owner, from_row = np.repeat(docs, size), np.repeat(of_row, size)
-        # Hashes are made shard by shard: what is held at once stays near the size of the strings.
-        ends = np.cumsum([len(r["data"]) for r in rows])
-        cut = np.searchsorted(at, np.r_[0, ends])
-        keys = np.concatenate(
-            [
-                rolling(data[e - len(r["data"]) : e], LENGTH)[at[a:b] - (e - len(r["data"]))]
-                for r, e, a, b in zip(rows, ends.tolist(), cut, cut[1:])
-            ]
-        )
-        runs = []
-        bounds = np.searchsorted(from_row, np.arange(len(rows) + 1))
-        for a, b in zip(bounds, bounds[1:]):
-            order = a + np.lexsort((owner[a:b], keys[a:b]))
-            fresh = np.r_[True, keys[order][1:] != keys[order][:-1]]
-            runs.append((keys[order][fresh], order[fresh]))
+        # Hashes are made some positions at a time: what is held at once stays near the size of the strings.
+        keys = np.empty(len(at), np.uint64)
+        for k in range(0, len(data), AT_ONCE):
+            a, b = np.searchsorted(at, (k, k + AT_ONCE))
+            keys[a:b] = rolling(data[k : k + AT_ONCE + LENGTH - 1], LENGTH)[at[a:b] - k]
+        runs, orders = [], []
+        for a in range(0, len(keys), AT_ONCE):
+            order = a + np.argsort(keys[a : a + AT_ONCE])
+            ordered, ids = keys[order], owner[order]
+            starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+            times = np.diff(np.r_[starts, len(order)])
+            # The first place of each string that has its smallest owner.
+            least = np.flatnonzero(ids == np.repeat(np.minimum.reduceat(ids, starts), times))
+            runs.append((ordered[starts], order[least[np.searchsorted(least, starts)]]))
+            orders.append((order, times))
         known, best = merge_runs(runs, owner)
-        source = best[np.searchsorted(known, keys)]
+        source = np.empty(len(keys), np.int64)
+        for (some, _), (order, times) in zip(runs, orders):
+            source[order] = np.repeat(best[np.searchsorted(known, some)], times)
         gone = np.flatnonzero(owner > owner[source])
         eight = words8(data)
         differs = np.zeros(len(gone), bool)
@@ -482,8 +507,10 @@ def _compared(table: pa.Table) -> list[tuple]:
             for i, t in text.items():
                 least[t] = min(least.get(t, owner[i]), owner[i])
             gone = np.r_[gone, [i for i, t in text.items() if owner[i] > least[t]]].astype(np.int64)
-        for k in np.unique(from_row[gone]):
-            starts = np.sort(position[gone[from_row[gone] == k]])
+        gone = np.sort(gone)
+        bounds = np.searchsorted(from_row[gone], np.arange(len(rows) + 1))
+        for k in np.flatnonzero(np.diff(bounds)).tolist():
+            starts = position[gone[bounds[k] : bounds[k + 1]]]
             starts, ends = _merged_ranges(starts, starts + LENGTH)
             out.append((rows[k]["part"], rows[k]["shard"], starts.tobytes(), ends.tobytes(), None, None))
     return out
