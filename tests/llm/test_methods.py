@@ -393,3 +393,25 @@ def test_rows_of_many_shards_are_few_sorted_runs(monkeypatch):
     for shard, strings in expected.items():
         gone = [start for start, k, doc in strings if doc > min(owners[k])]
         assert found.get(shard, ([], [])) == (gone, [start + 60 for start in gone])
+
+
+def test_letters_with_marks_go_to_the_model_once():
+    from tokenizers import Tokenizer
+
+    one = Encoder(vocabulary_path())
+    texts = [
+        "alpha*** beta, gamma;\nalpha### beta gamma!!", "(x) don't 12; a_b éß%%% ñ.,. word'; a\n\"b\" \n", "alpha beta;, Gamma:\nbeta",
+        "| a |", "日本。 語; x́, ²; ª! _ __ a_", "a<|endoftext|>;;; b", "\n|\n;a", "İ, ß?",
+    ]
+    plain = Tokenizer.from_file(vocabulary_path()).encode_batch(texts, add_special_tokens=False)
+    expected = [np.array(e.ids, "<u4").tobytes() for e in plain]
+    assert one.encode(texts) == expected and one.encode(texts[::-1]) == expected[::-1]
+
+    one, by_model, whole = Encoder(vocabulary_path()), [], []
+    tokenize, ids = one.tokenizer.model.tokenize, one._ids
+    one.tokenize = lambda text: by_model.append(text) or tokenize(text)
+    one._ids = lambda some: whole.extend(some) or ids(some)
+    marked = [f"{w}{m}" for w in ("zeta", "omega") for m in ("", ",", ".", ";", "!!", "***", "$$$")]
+    one.encode([" ".join(["The", *marked])])
+    # A word is learned once however it ends, and marks once behind any word.
+    assert sorted(by_model) == ["The", "Ġomega", "Ġzeta"] and sorted(whole) == ["!!", "$$$", "***", ",", ".", ";"]

@@ -9,8 +9,10 @@ without special tokens added; the literal of a special token in a text gets that
 from __future__ import annotations
 
 import re
-from itertools import chain, islice
-from struct import pack
+from codecs import charmap_decode
+from collections.abc import Callable
+from itertools import islice
+from string import punctuation
 
 import numpy as np
 
@@ -27,8 +29,11 @@ ALPHABET = {b: chr(b) for b in _PRINTABLE} | {
     b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _PRINTABLE)
 }
 BLANK = ALPHABET[32]
-#: Pieces that are encoded in one call.
-_AT_ONCE = 2_000
+_AS_WRITTEN = "".join(ALPHABET[b] for b in range(256))
+#: Signs that are a piece by themselves behind letters; an apostrophe may be the start of an ending.
+MARKS = punctuation.replace("'", "")
+#: Runs of marks that a worker keeps.
+_MARKS_KEPT = 2_000
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -37,6 +42,17 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+class _Words(dict):
+    """Ids by word; an unknown word is learned when it is asked for."""
+
+    def __init__(self, learn: Callable[[str], bytes]) -> None:
+        self.learn = learn
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -47,9 +63,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.size = self.tokenizer.get_vocab_size()
         #: Ids of " word" by "word", and of "\nword" by itself.
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self._learn)
+        #: Words of this batch that no earlier one had.
+        self.new: list[str] = []
         #: Ids of pieces of texts with unusual white space.
         self.pieces: dict[str, bytes] = {}
         #: Marks words of earlier batches by their hash.
@@ -60,10 +79,12 @@ class Encoder:
         self.across = [t.content for t in added if t.rstrip or any(c.isspace() for c in t.content)]
         self.byte_level = (
             type(pre).__name__ == "ByteLevel" and self.tokenizer.normalizer is None
-            # No added token is hidden in letters with a mark.
-            and not any(all(c.isalpha() or c in ".,\n " for c in t.content) for t in added)
+            # No added token is hidden in letters with marks.
+            and not any((t.content.strip("\n ").rstrip(MARKS) or "a").isalpha() for t in added)
         )
-        self.marks = dict(zip(".,", self._ids([".", ","])))
+        #: Ids of marks behind words.
+        self.marks: dict[str, bytes] = {"": b""}
+        self.raw = [k.to_bytes(4, "little") for k in range(self.size)]
         self.feed, blank_a, joined = self._ids(["\n", " a", "\na"])
         # Line feeds are cut off the words that they stand before if they are one token.
         if len(self.feed) != 4 or joined != self.feed + self._ids(["a"])[0] or self._ids(["a\n a"]) != [
@@ -75,31 +96,37 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _learn_words(self, words: set[str]) -> list[str]:
-        """Adds the ids of unknown words; those that no earlier batch had are returned."""
-        known, other, new = self.words, [], []
-        tokenize, door, mask = self.tokenizer.model.tokenize, self.door, len(self.door) - 1
-        for word in words - known.keys():
-            slot = hash(word) & mask
-            if not door[slot]:
-                door[slot] = 1
-                new.append(word)
-            head, core, tail, lead = b"", word, b"", BLANK
-            if word[:1] == "\n":
-                head, core, lead = self.feed, word[1:], ""
-            if core[-1:] in self.marks and core[-2:-1].isalpha():
-                tail, core = self.marks[core[-1]], core[:-1]
+    def _learn(self, word: str) -> bytes:
+        """Ids of a word that is not known, with the blank or line feed before it."""
+        slot = hash(word) & (len(self.door) - 1)
+        if not self.door[slot]:
+            self.door[slot] = 1
+            self.new.append(word)
+        if self.byte_level:
             # Letters alone are one piece for the pre-tokenizer: the model can have them as they are.
-            if self.byte_level and core.isalpha():
-                letters = core if core.isascii() else core.encode().decode("latin1").translate(ALPHABET)
-                ids = [t.id for t in tokenize(lead + letters)]
-                known[word] = head + pack(f"<{len(ids)}I", *ids) + tail
-            else:
-                other.append(word)
-        for k in range(0, len(other), _AT_ONCE):
-            some = other[k : k + _AT_ONCE]
-            known.update(zip(some, self._ids([w if w[:1] == "\n" else " " + w for w in some])))
-        return new
+            if word.isalpha():
+                return self._letters(BLANK, word)
+            core = word.rstrip(MARKS)
+            tail = word[len(core) :]
+            if core[:1] == "\n" and core[1:].isalpha():
+                return self.feed + self._letters("", core[1:]) + self._mark(tail)
+            if tail and core.isalpha():
+                return self.words[core] + self._mark(tail)
+        return self._ids([word if word[:1] == "\n" else " " + word])[0]
+
+    def _letters(self, lead: str, word: str) -> bytes:
+        """Ids of a word of letters behind ``lead``, by the tokenizer's model."""
+        if not word.isascii():
+            word = charmap_decode(word.encode(), "strict", _AS_WRITTEN)[0]
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.tokenize(lead + word)])
+
+    def _mark(self, tail: str) -> bytes:
+        if tail not in self.marks:
+            if len(self.marks) > _MARKS_KEPT:
+                self.marks.clear()
+            self.marks[tail] = self._ids([tail])[0] if tail else b""
+        return self.marks[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
@@ -108,23 +135,22 @@ class Encoder:
                 kept = dict(islice(known.items(), CACHED_PIECES // 2))
                 known.clear()
                 known.update(kept)
-        cut = [None if _unusual(t) else ("\n" + t).replace("\n", " \n").split(" ")[1:] for t in texts]
-        new = self._learn_words(set(chain.from_iterable(c for c in cut if c)))
         get, out = self.words.__getitem__, []
-        for text, words in zip(texts, cut):
+        for text in texts:
             if self.across and any(a in text for a in self.across):
                 out += self._ids([text])
-                continue
-            if words is not None:
-                out.append(b"".join(map(get, words))[4:])
-                continue
-            pieces = _PIECE.findall(text)
-            missing = list({p for p in pieces if p not in self.pieces})
-            self.pieces.update(zip(missing, self._ids(missing)))
-            out.append(b"".join(map(self.pieces.__getitem__, pieces)))
+            elif _unusual(text):
+                pieces = _PIECE.findall(text)
+                missing = list({p for p in pieces if p not in self.pieces})
+                self.pieces.update(zip(missing, self._ids(missing)))
+                out.append(b"".join(map(self.pieces.__getitem__, pieces)))
+            else:
+                words = ("\n" + text).replace("\n", " \n").split(" ")
+                out.append(b"".join(map(get, words[1:]))[4:])
         # Most words never come back: only those met in two batches are kept.
-        for word in new:
+        for word in self.new:
             del self.words[word]
+        self.new.clear()
         return out
 
 
