@@ -415,3 +415,13 @@ def test_letters_with_marks_go_to_the_model_once():
     one.encode([" ".join(["The", *marked])])
     # A word is learned once however it ends, and marks once behind any word.
     assert sorted(by_model) == ["The", "Ġomega", "Ġzeta"] and sorted(whole) == ["!!", "$$$", "***", ",", ".", ";"]
+
+
+def test_pieces_are_cut_where_they_are_encoded(spark):
+    docs = spark.createDataFrame([(1, "one two"), (1, None), (2, "x " * 5000)], "doc_id long, text string")
+    rows = packing.token_pieces(docs, vocabulary_path())
+    assert rows._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    found = sorted(tuple(r)[:5:2] + (r.length,) for r in rows.drop("copy").collect())
+    assert len(found) == 5 and sum(n for *_, n in found) == sum(
+        len(i) // 4 + 1 for i in Encoder(vocabulary_path()).encode(["one two", "", "x " * 5000])
+    )

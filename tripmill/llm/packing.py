@@ -23,11 +23,13 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import lean, numbered, read, written
+from tripmill.llm.token_files import ids_of_texts, texts_of
 from tripmill.llm.tokens import vocabulary_path
 
 #: Production parameters.
@@ -37,19 +39,19 @@ PIECES = "doc_id long, copy long, piece int, start long, length long, ids_crc32
 
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """A row per piece; ``copy`` tells rows with equal doc_id apart, ``ids`` only on demand."""
-    from tripmill.llm.token_files import encoded
+    end = np.uint32(end_id).tobytes()
 
     def run(batches):
         for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n = len(raw) // 4
-                cut = [0, *range(n % capacity or capacity, n, capacity), n]
-                copy = zlib.crc32(raw)
-                for piece, (start, stop) in enumerate(zip(cut, cut[1:])):
-                    ids = raw[4 * start : 4 * stop]
-                    rows.append((doc_id, copy, piece, start, stop - start, zlib.crc32(ids)) + ((ids,) if with_ids else ()))
-            if rows:
+            for some, ids_of in ids_of_texts(batch, vocabulary, end):
+                rows: list[tuple] = []
+                for doc_id, raw in zip(some.column(0).to_pylist(), ids_of):
+                    n = len(raw) // 4
+                    cut = [0, *range(n % capacity or capacity, n, capacity), n]
+                    copy = zlib.crc32(raw)
+                    for piece, (start, stop) in enumerate(zip(cut, cut[1:])):
+                        ids = raw[4 * start : 4 * stop]
+                        rows.append((doc_id, copy, piece, start, stop - start, zlib.crc32(ids)) + ((ids,) if with_ids else ()))
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 names = ["doc_id", "copy", "piece", "start", "length", "ids_crc32", "ids"]
                 columns = list(zip(*rows))
@@ -57,8 +59,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
                     [pa.array(c, k) for c, k in zip(columns, kinds)], names=names[: len(columns)]
                 )
 
-    rows = encoded(docs, vocabulary, end_id).select("doc_id", "ids")
-    return rows.mapInArrow(lean(run), PIECES + ", ids binary" * with_ids)
+    # Encoded and cut in one pass: ids leave their worker only if they are asked for.
+    return texts_of(docs).mapInArrow(lean(run), PIECES + ", ids binary" * with_ids)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Iterator[tuple[int, int, int, int, int, int]]:

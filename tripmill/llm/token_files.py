@@ -163,12 +163,12 @@ def _write_file(uri: str, width: int, documents: Iterator[tuple[int | None, byte
     return len(doc_ids), n
 
 
-def _texts(docs: DataFrame) -> DataFrame:
+def texts_of(docs: DataFrame) -> DataFrame:
     has_columns(docs, "doc_id", "text")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _ids(batch: pa.RecordBatch, vocabulary: str, end: bytes) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def ids_of_texts(batch: pa.RecordBatch, vocabulary: str, end: bytes) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of (doc_id, text) and the ids of their texts, with the end id."""
     ids_of = encoder(vocabulary).encode
     for k in range(0, batch.num_rows, 1000):
@@ -182,13 +182,13 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for some, ids in _ids(batch, vocabulary, end):
+            for some, ids in ids_of_texts(batch, vocabulary, end):
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "n_tokens", "ids"],
                 )
 
-    return _texts(docs).mapInArrow(lean(run), "doc_id long, n_tokens long, ids binary")
+    return texts_of(docs).mapInArrow(lean(run), "doc_id long, n_tokens long, ids binary")
 
 
 def write_token_files(
@@ -199,7 +199,7 @@ def write_token_files(
     The texts are ordered, and encoded and packed in the same task: ids are never written but packed. Files get about
     ``file_ids`` ids, at four bytes of text each.
     """
-    rows = _texts(docs)
+    rows = texts_of(docs)
     total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 4)).first()[0] or 0
     width = max(1, int(encoder(vocabulary).size - 1).bit_length(), int(end_id).bit_length())
     end = np.uint32(end_id).tobytes()
@@ -210,7 +210,7 @@ def write_token_files(
 
         def documents() -> Iterator[tuple[int | None, bytes]]:
             for batch in batches:
-                for some, ids in _ids(batch, vocabulary, end):
+                for some, ids in ids_of_texts(batch, vocabulary, end):
                     yield from zip(some.column(0).to_pylist(), ids)
 
         found = documents()
