@@ -42,14 +42,27 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+class _UnusualSpace(Exception):
+    """A word has white space in it."""
+
+
 class _Words(dict):
     """Ids by word; an unknown word is learned when it is asked for."""
 
     def __init__(self, learn: Callable[[str], bytes]) -> None:
         self.learn = learn
+        #: Marks words of earlier batches by their hash.
+        self.door = bytearray(1 << 22)
+        self.mask = len(self.door) - 1
+        #: Words of this batch that no earlier one had.
+        self.new: list[str] = []
 
     def __missing__(self, word: str) -> bytes:
         ids = self[word] = self.learn(word)
+        slot = hash(word) & self.mask
+        if not self.door[slot]:
+            self.door[slot] = 1
+            self.new.append(word)
         return ids
 
 
@@ -67,12 +80,8 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size()
         #: Ids of " word" by "word", and of "\nword" by itself.
         self.words = _Words(self._learn)
-        #: Words of this batch that no earlier one had.
-        self.new: list[str] = []
         #: Ids of pieces of texts with unusual white space.
         self.pieces: dict[str, bytes] = {}
-        #: Marks words of earlier batches by their hash.
-        self.door = bytearray(1 << 22)
         pre = self.tokenizer.pre_tokenizer
         added = self.tokenizer.get_added_tokens_decoder().values()
         #: Added tokens that reach over white space: a text that holds one is encoded whole.
@@ -98,20 +107,21 @@ class Encoder:
 
     def _learn(self, word: str) -> bytes:
         """Ids of a word that is not known, with the blank or line feed before it."""
-        slot = hash(word) & (len(self.door) - 1)
-        if not self.door[slot]:
-            self.door[slot] = 1
-            self.new.append(word)
-        if self.byte_level:
+        if word.isalpha() and self.byte_level:
             # Letters alone are one piece for the pre-tokenizer: the model can have them as they are.
-            if word.isalpha():
-                return self._letters(BLANK, word)
+            if not word.isascii():
+                word = charmap_decode(word.encode(), "strict", _AS_WRITTEN)[0]
+            raw = self.raw
+            return b"".join([raw[t.id] for t in self.tokenize(BLANK + word)])
+        if self.byte_level:
             core = word.rstrip(MARKS)
             tail = word[len(core) :]
             if core[:1] == "\n" and core[1:].isalpha():
                 return self.feed + self._letters("", core[1:]) + self._mark(tail)
             if tail and core.isalpha():
                 return self.words[core] + self._mark(tail)
+        if _UNUSUAL.search(word):
+            raise _UnusualSpace
         return self._ids([word if word[:1] == "\n" else " " + word])[0]
 
     def _letters(self, lead: str, word: str) -> bytes:
@@ -139,26 +149,30 @@ class Encoder:
         for text in texts:
             if self.across and any(a in text for a in self.across):
                 out += self._ids([text])
-            elif _unusual(text):
-                pieces = _PIECE.findall(text)
-                missing = list({p for p in pieces if p not in self.pieces})
-                self.pieces.update(zip(missing, self._ids(missing)))
-                out.append(b"".join(map(self.pieces.__getitem__, pieces)))
-            else:
+                continue
+            if not _unusual(text):
                 words = ("\n" + text).replace("\n", " \n").split(" ")
-                out.append(b"".join(map(get, words[1:]))[4:])
+                try:
+                    out.append(b"".join(map(get, words[1:]))[4:])
+                    continue
+                except _UnusualSpace:
+                    pass
+            pieces = _PIECE.findall(text)
+            missing = list({p for p in pieces if p not in self.pieces})
+            self.pieces.update(zip(missing, self._ids(missing)))
+            out.append(b"".join(map(self.pieces.__getitem__, pieces)))
         # Most words never come back: only those met in two batches are kept.
-        for word in self.new:
+        for word in self.words.new:
             del self.words[word]
-        self.new.clear()
+        self.words.new.clear()
         return out
 
 
 def _unusual(text: str) -> bool:
-    """Whether there is other white space than single blanks and line feeds between words."""
+    """Whether blanks and line feeds are not single ones between words; other white space shows in the words."""
     return (
         not text or text[0].isspace() or text[-1].isspace() or "  " in text or "\n\n" in text
-        or "\n " in text or " \n" in text or _UNUSUAL.search(text) is not None
+        or "\n " in text or " \n" in text
     )
 
 
