@@ -417,6 +417,37 @@ def test_letters_with_marks_go_to_the_model_once():
     assert sorted(by_model) == ["The", "Ġomega", "Ġzeta"] and sorted(whole) == ["!!", "$$$", "***", ",", ".", ";"]
 
 
+def test_many_words_go_to_the_tokenizer_together():
+    from tokenizers import Tokenizer
+
+    one, calls = Encoder(vocabulary_path()), []
+    tokenize, ids = one.tokenizer.model.tokenize, one._ids
+    one.tokenize = lambda text: calls.append(text) or tokenize(text)
+    one._ids = lambda some: calls.append(some) or ids(some)
+    draw = np.random.default_rng(5)
+    letters, marks = [*"abcdefghimnorstéñç日"], ["", "", "", ",", ".", ";!", "***"]
+    words = ["".join(draw.choice(letters, n)) + draw.choice(marks) for n in draw.integers(1, 14, 6000)]
+    words[::50] = ["it's", "12.5", "a1", "(x)", "a×", "é×", "語。", "", "tab\there", "\n", "x\xa0y", "<|endoftext|>,"] * 10
+    texts = [("\n" if k % 3 else " ").join(words[k : k + 40]) for k in range(0, 6000, 40)] + ["", " ", "a", "a  b"]
+    plain = Tokenizer.from_file(vocabulary_path()).encode_batch(texts, add_special_tokens=False)
+    assert one.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in plain]
+    # Not a call for each word; texts with unusual white space are encoded by themselves.
+    assert len(calls) < len(texts)
+    assert one.encode([]) == [] and one.encode(["a b", ""])[1] == b""
+
+
+def test_texts_are_encoded_in_slices_of_bytes(monkeypatch):
+    import pyarrow as pa
+
+    texts = [None, "", "a b", "x " * 500 + "y", "é", None, "last one"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    whole = [ids for _, some in files.ids_of_texts(batch, vocabulary_path(), b"end.") for ids in some]
+    assert whole == [raw + b"end." for raw in Encoder(vocabulary_path()).encode([t or "" for t in texts])]
+    monkeypatch.setattr(files, "SLICE_BYTES", 4)
+    found = [(some.column(0).to_pylist(), ids) for some, ids in files.ids_of_texts(batch, vocabulary_path(), b"end.")]
+    assert [k for k, _ in found] == [[0, 1, 2], [3], [4, 5], [6]] and [raw for _, ids in found for raw in ids] == whole
+
+
 def test_pieces_are_cut_where_they_are_encoded(spark):
     docs = spark.createDataFrame([(1, "one two"), (1, None), (2, "x " * 5000)], "doc_id long, text string")
     rows = packing.token_pieces(docs, vocabulary_path())

@@ -27,6 +27,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ from tripmill.session import scratch_dir
 #: Production parameters: id that ends a document, ids in a block (a multiple of 64) and about in a file.
 END_ID, BLOCK, FILE_IDS = 2, 1 << 16, 1 << 22
 MAGIC = b"TPK1"
+#: Bytes of text encoded together; a longer text is encoded alone.
+SLICE_BYTES = 4 << 20
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
@@ -171,9 +174,13 @@ def texts_of(docs: DataFrame) -> DataFrame:
 def ids_of_texts(batch: pa.RecordBatch, vocabulary: str, end: bytes) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of (doc_id, text) and the ids of their texts, with the end id."""
     ids_of = encoder(vocabulary).encode
-    for k in range(0, batch.num_rows, 1000):
-        some = batch.slice(k, 1000)
-        yield some, [raw + end for raw in ids_of([t or "" for t in some.column(1).to_pylist()])]
+    texts = pc.fill_null(batch.column(1), "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+    start, done = 0, 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+        yield batch.slice(start, stop - start), [raw + end for raw in ids_of(texts.slice(start, stop - start))]
+        start, done = stop, int(ends[stop - 1])
 
 
 def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
