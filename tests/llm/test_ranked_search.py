@@ -87,6 +87,6 @@ def test_odd_rows(spark, odd_documents, no_documents):
     found = ranked(rows_of(ranked_search.search_documents(odd_documents, rows)))
     assert found == brute(TEXTS, items | {2: "a b x"})
     assert [d for d, _ in found[1]] == [5, 6, 7] and found[1][0][1] == found[1][1][1] >= found[1][2][1]
-    assert [d for d, _ in found[None]] == [None, 16]
+    assert [d for d, _ in found[None]] == [16, None]
     assert rows_of(ranked_search.search_documents(no_documents, rows)) == []
     assert rows_of(ranked_search.search_documents(odd_documents, rows.limit(0))) == []

@@ -1,5 +1,6 @@
 """Physical plans hold what the jobs rely on at scale."""
 
+import re
 from datetime import date
 
 import pytest
@@ -33,7 +34,7 @@ def test_copies_are_dropped_before_the_shuffle(spark):
     limits = [i for i, name in enumerate(operators) if name == "WindowGroupLimit"]
     assert len(limits) == 2
     assert operators[limits[0]:limits[1] + 1] == ["WindowGroupLimit", "Sort", "Exchange", "WindowGroupLimit"]
-    assert "Exchange hashpartitioning(vendor_key" in lines_[limits[0] + 2]
+    assert re.search(r"Exchange hashpartitioning\(_hash#\d+L, _key0#", lines_[limits[0] + 2])
 
 
 def test_medians_never_hold_a_group(spark):
