@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.conftest import SF
@@ -168,3 +169,52 @@ def test_bytes_round_trip():
     some = np.array([5, 3, 3, 900, -1])
     assert (lm._from_steps(lm._steps(some)) == some).all()
     assert lm.unsqueeze(lm.squeeze()) == [] and len(lm.unsqueeze(lm.squeeze(arrays[1]))[0]) == 0
+
+
+def test_words_of_many_texts_at_once():
+    texts = [None, "a b", "b", "", " \t", "É x\vy\x00z\x1cw ", "Ab\n\r\faB", "日本 \u00a0é\u2003q", "end", None]
+    raw = [None if t is None else t.encode() for t in texts]
+    for kind in (pa.binary(), pa.large_binary()):
+        for start, stop in ((0, len(raw)), (2, 7), (4, 4), (3, 5), (9, 10)):
+            counts, sizes, text = lm.words(pa.array(raw, kind)[start:stop])
+            want = [_WORD.findall((t or "").translate(_LOWER)) for t in texts[start:stop]]
+            flat = [w.encode() for own in want for w in own]
+            assert counts.tolist() == [len(own) for own in want] and sizes.tolist() == [len(w) for w in flat] and text == b"".join(flat)
+            at, known = lm.numbered(sizes, text)
+            assert known == list(dict.fromkeys(flat)) and [known[k] for k in at] == flat
+
+
+def test_many_searches_decode_a_list_once(monkeypatch):
+    rng = np.random.default_rng(11)
+    values = np.unique(rng.integers(0, 10**8, 5000) ** 2)  # uneven buckets
+    held = lm.EliasFano(np.frombuffer(lm.EliasFano.encode(values), np.uint8), 0)
+    sought = np.r_[values, rng.integers(0, 10**16, 5000)]
+    few = held.successor(sought[::200][: len(values) // lm.BULK - 1])
+    assert (few == np.searchsorted(values, sought[::200])).all()
+    calls, lows = [], lm.EliasFano.lows
+    monkeypatch.setattr(lm.EliasFano, "lows", lambda self, i: calls.append(len(i)) or lows(self, i))
+    assert (held.successor(sought) == np.searchsorted(values, sought)).all()
+    assert calls == [len(values)]
+
+
+def test_blocks_end_where_they_did(tmp_path, spark, monkeypatch):
+    """Cut at the document that fills a block, however rows come; n-grams equal plain ones, also where keys need two numbers."""
+    texts = [" ".join(f"w{k % 7}" for k in range(n)) for n in (3, 0, 50, 4, 1, 9, 120, 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    plan = lm.Plan(f"file://{tmp_path}", 3, 1, 0, 0, lm.HOT)
+    from pyspark.sql import functions as F
+
+    cut = rows_of(lm._cut(plan, 20, F.col("doc_id") != 2, docs).orderBy("block"))
+    assert [(r["tokens"], r["trained"], r["documents"]) for r in cut] == [(56, 5, 2), (138, 138, 4), (3, 3, 1)]
+    block, plain = lm.Block(plan.block(1)), lm._sorted
+    grams = list(block.grams(3))
+    keys = lambda k: (lambda by: (k[by], by))(np.argsort(k, kind="stable"))
+    monkeypatch.setattr(lm, "_sorted", keys)
+    for one, other in zip(grams, block.grams(3)):
+        assert all((a == b).all() for a, b in zip(one, other))
+    big = np.array([1 << 61, 5, -1, 5, 1 << 60])
+    assert (plain(big)[0] == np.sort(big)).all() and (big[plain(big)[1]] == np.sort(big)).all()
+    high, low = np.array([1 << 40, 3, 3, 1 << 40, 3]), np.array([1 << 30, 2, 1, 1 << 30, 2])
+    for shift in (0, 20):
+        by, first = lm._runs(high << shift, low)
+        assert (high[by] == [3, 3, 3, 1 << 40, 1 << 40]).all() and (low[by][:3] == [1, 2, 2]).all() and first.tolist() == [0, 1, 3]

@@ -70,6 +70,29 @@ def trim() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+#: Parameters of the C library's ``mallopt``, and what its thresholds rise to by themselves.
+_TRIM_THRESHOLD, _MMAP_THRESHOLD, _HIGHEST = -1, -3, 1 << 25
+
+
+def roomy(run: Callable) -> Callable:
+    """A function of one argument, during which freed memory stays with the process for its next arrays, whose pages would
+    all be mapped anew; at its end the memory goes back."""
+
+    def inner(given):
+        with contextlib.suppress(OSError, AttributeError):
+            library = ctypes.CDLL(None)
+            library.mallopt(_MMAP_THRESHOLD, _HIGHEST)
+            library.mallopt(_TRIM_THRESHOLD, 1 << 30)
+        try:
+            return run(given)
+        finally:
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).mallopt(_TRIM_THRESHOLD, 2 * _HIGHEST)
+            trim()
+
+    return inner
+
+
 def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A function for ``mapInArrow`` that gives its memory back at the end of a task."""
 

@@ -31,7 +31,6 @@ import os
 import tempfile
 import time
 import uuid
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from math import ceil
 
@@ -42,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import has_columns, read, written
+from tripmill.llm.common import has_columns, read, roomy, written
 from tripmill.llm.token_files import pack
 from tripmill.session import scratch_dir
 
@@ -54,14 +53,41 @@ LEFT_BEYOND = 1.0
 FOLDS, HELD_OUT = 5, 1
 #: Seconds between the attempts to free a pass's shuffle files.
 RELEASE_SECONDS = 1.0
+#: Searches for at least one in so many of a list's elements decode the list once.
+BULK = 8
 #: Codes per unit of -log10, and the code of what was not seen.
 STEPS, UNSEEN = 16, 255
-_LOWER = bytes(b + 32 * (0x41 <= b <= 0x5A) for b in range(256))
-
-
-def words(text: bytes) -> list[bytes]:
-    """Words of a text in UTF-8; ``split`` takes the bytes 0x20 and 0x09 to 0x0D."""
-    return text.translate(_LOWER).split()
+#: A-Z lower-cased, 0x09 to 0x0D a space.
+_PLAIN = bytes(0x20 if 0x09 <= b <= 0x0D else b + 32 * (0x41 <= b <= 0x5A) for b in range(256))
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Of texts in UTF-8 (null: empty): words of each, bytes of each word, and the words without what parts them."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    if not len(texts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), b""
+    bounds = np.frombuffer(texts.buffers()[1], "<i8", len(texts) + 1, 8 * texts.offset)
+    raw = texts.buffers()[2]
+    raw = raw[int(bounds[0]) : int(bounds[-1])].to_pybytes() if raw else b""
+    bounds, plain = bounds - bounds[0], np.frombuffer(raw.translate(_PLAIN), np.uint8)
+    inside = plain != 0x20
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    # A word ends with its text.
+    edges = bounds[bounds < len(plain)]
+    first[edges] = inside[edges]
+    edges = bounds[bounds > 0] - 1
+    last[edges] = inside[edges]
+    first = np.flatnonzero(first)
+    return np.diff(np.searchsorted(first, bounds)), np.flatnonzero(last) - first + 1, plain[inside].tobytes()
+
+
+def numbered(sizes: np.ndarray, text: bytes) -> tuple[np.ndarray, list[bytes]]:
+    """Words, one after the other in ``text``, as numbers in the order of their first occurrence; and the distinct ones."""
+    ends = np.r_[0, np.cumsum(sizes)].astype("<i8")
+    held = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(text)]).dictionary_encode()
+    return held.indices.to_numpy(), held.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
 def held_out(doc_id: Column) -> Column:
@@ -85,10 +111,10 @@ def squeeze(*arrays: np.ndarray) -> bytes:
     """Arrays of integers ≥ 0 in the fewest byte planes, compressed."""
     head, planes = [len(arrays)], []
     for a in arrays:
-        a = np.ascontiguousarray(a, dtype="<u8")
         size = max(1, (int(a.max(initial=0)).bit_length() + 7) // 8)
         head += [len(a), size]
-        planes.append(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes())
+        planes.append(a.astype(np.uint8).tobytes())
+        planes += [(a >> 8 * k).astype(np.uint8).tobytes() for k in range(1, size)]
     body = b"".join(planes)
     packed = pa.Codec("zstd", compression_level=1).compress(body, asbytes=True)
     return np.array([*head, len(body)], "<u8").tobytes() + packed
@@ -100,16 +126,17 @@ def unsqueeze(raw: bytes) -> list[np.ndarray]:
     body = pa.Codec("zstd").decompress(raw[8 * (2 * count + 2) :], int(head[-1]), asbytes=True)
     out, at = [], 0
     for n, size in zip(head[:-1:2].tolist(), head[1:-1:2].tolist()):
-        a = np.zeros((n, 8), np.uint8)
-        a[:, :size] = np.frombuffer(body, np.uint8, n * size, at).reshape(size, n).T
-        out.append(a.reshape(-1).view("<i8"))
+        a = np.frombuffer(body, np.uint8, n, at).astype(np.int64)
+        for k in range(1, size):
+            a |= np.frombuffer(body, np.uint8, n, at + k * n).astype(np.int64) << 8 * k
+        out.append(a)
         at += n * size
     return out
 
 
 def _signed(steps: np.ndarray) -> np.ndarray:
     """Differences as numbers ≥ 0, small ones small."""
-    return np.where(steps < 0, -2 * steps - 1, 2 * steps)
+    return steps << 1 ^ steps >> 63
 
 
 def _steps(values: np.ndarray) -> np.ndarray:
@@ -117,15 +144,41 @@ def _steps(values: np.ndarray) -> np.ndarray:
 
 
 def _from_steps(values: np.ndarray) -> np.ndarray:
-    return np.cumsum(np.where(values & 1, -(values + 1) // 2, values // 2))
+    return np.cumsum(values >> 1 ^ -(values & 1))
 
 
-def _order(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Ascending (high, low); rows that are equal in both come in any order. One sort of 64-bit keys where they fit."""
+def _paired(high: np.ndarray, low: np.ndarray) -> np.ndarray | None:
+    """Numbers that rise as (high, low) does, where 63 bits hold them."""
     bits = int(low.max(initial=0)).bit_length()
-    if int(high.max(initial=0)).bit_length() + bits < 64:
-        return np.argsort(high << bits | low)
-    return np.lexsort((low, high))
+    return high << bits | low if int(high.max(initial=0)).bit_length() + bits < 64 else None
+
+
+def _order(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Ascending (high, low); rows that are equal in both come in any order."""
+    key = _paired(high, low)
+    return np.lexsort((low, high)) if key is None else _sorted(key)[1]
+
+
+def _runs(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same order, and where each distinct pair starts in it."""
+    key = _paired(high, low)
+    if key is not None:
+        key, by = _sorted(key)
+        return by, np.flatnonzero(np.diff(key, prepend=-1))
+    by = np.lexsort((low, high))
+    return by, np.flatnonzero((np.diff(high[by], prepend=-1) != 0) | (np.diff(low[by], prepend=-1) != 0))
+
+
+def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending keys of at least -1, and where each was. One sort of 64-bit numbers where key and place fit into one."""
+    bits = len(keys).bit_length()
+    if int(keys.max(initial=0)).bit_length() + bits < 64:
+        both = keys << bits
+        both |= np.arange(len(keys))
+        both.sort()
+        return both >> bits, both & ((1 << bits) - 1)
+    by = np.argsort(keys)
+    return keys[by], by
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -189,11 +242,11 @@ class EliasFano:
         self.words = raw[at + 32 : at + 32 + lows].view("<u8")
         self.high = raw[at + 32 + lows : at + 32 + lows + high]
         self.end = at + 32 + lows + high
-        bits = np.unpackbits(self.high, bitorder="little")
-        ones = np.flatnonzero(bits)
-        self.highs = ones - np.arange(self.n)
-        # Values below each bucket of equal high bits.
-        self.below = np.searchsorted(self.highs, np.arange((int(self.highs[-1]) if self.n else 0) + 2))
+        bits = np.unpackbits(self.high, bitorder="little").view(bool)
+        self.highs = np.flatnonzero(bits) - np.arange(self.n)
+        # Values below each bucket of equal high bits: the ones before the zero that ends the bucket before.
+        buckets = (int(self.highs[-1]) if self.n else 0) + 1
+        self.below = np.r_[0, np.flatnonzero(~bits[: self.n + buckets])[:buckets] - np.arange(buckets)]
 
     def lows(self, i: np.ndarray) -> np.ndarray:
         if not self.low:
@@ -210,6 +263,8 @@ class EliasFano:
 
     def successor(self, values: np.ndarray) -> np.ndarray:
         """Place of the first element of at least each value (n if there is none)."""
+        if len(values) * BULK >= self.n:
+            return np.searchsorted(self.access(np.arange(self.n)), values)
         high = np.minimum(values >> self.low, len(self.below) - 1)
         first = self.below[high]
         last = np.where(high + 1 < len(self.below), self.below[np.minimum(high + 1, len(self.below) - 1)], self.n)
@@ -257,24 +312,22 @@ class Level:
     @staticmethod
     def codes(held: np.ndarray, at: np.ndarray, otherwise: int) -> np.ndarray:
         """Codes at places, another one for what is not there."""
-        out = np.full(len(at), otherwise)
-        out[at >= 0] = held[at[at >= 0]]
-        return out
+        return np.r_[held, np.uint8(otherwise)][at]
 
     def search(self, contexts: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place in the level of each n-gram and of its context (-1: not there), and where the context's range starts."""
         # The same context in a row is looked up once.
         new = np.flatnonzero(np.diff(contexts, prepend=-1))
-        at = np.repeat(self.contexts.find(contexts[new]), np.diff(np.r_[new, len(contexts)]))
-        out, first = np.full(len(at), -1), np.zeros(len(at), np.int64)
-        known = np.flatnonzero(at >= 0)
+        sizes = np.diff(np.r_[new, len(contexts)])
+        of = self.contexts.find(contexts[new])
+        start, stop, base = np.zeros((3, len(of)), np.int64)
+        known = np.flatnonzero(of >= 0)
         if len(known):
-            start, stop = self.pointers.access(at[known]), self.pointers.access(at[known] + 1)
-            base = np.where(start > 0, self.successors.access(np.maximum(start, 1) - 1) + 1, 0)
-            found = self.successors.find(base + places[known])
-            out[known] = np.where((found >= start) & (found < stop), found, -1)
-            first[known] = start
-        return out, at, first
+            start[known], stop[known] = self.pointers.access(of[known]), self.pointers.access(of[known] + 1)
+            base[known] = np.where(start[known] > 0, self.successors.access(np.maximum(start[known], 1) - 1) + 1, 0)
+        found, first = self.successors.find(np.repeat(base, sizes) + places), np.repeat(start, sizes)
+        # A context that is not there has an empty range.
+        return np.where((found >= first) & (found < np.repeat(stop, sizes)), found, -1), np.repeat(of, sizes), first
 
 
 # Blocks.
@@ -298,26 +351,25 @@ class Block:
         self.trained = np.repeat(self.train.astype(bool), self.lengths + 2) & self.scored
 
     @staticmethod
-    def write(uri: str, doc_ids: list, train: list, tokens: list[np.ndarray], n_words: int) -> None:
+    def write(uri: str, doc_ids: list, train: list, lengths: np.ndarray, tokens: np.ndarray, n_words: int) -> None:
         ids = np.array([i or 0 for i in doc_ids], dtype=np.int64)
-        lengths = np.array([len(t) for t in tokens])
         nulls = np.array([i is None for i in doc_ids])
-        put(uri, squeeze(_signed(ids), nulls, np.array(train), lengths, np.concatenate(tokens), np.array([n_words])))
+        put(uri, squeeze(_signed(ids), nulls, np.array(train), lengths, tokens, np.array([n_words])))
 
     def grams(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """For orders 2 to ``order``: of each distinct n-gram its context (n-gram of the order before), its shorter n-gram
         and its training count; and the n-gram at every token. N-gram 0 is the start of a document."""
-        at = self.flat
+        at, bits = self.flat, self.size.bit_length()
         for _ in range(2, order + 1):
-            key = np.r_[0, at[:-1]] * self.size + self.flat
-            key[~self.scored] = -1
-            by = np.argsort(key)
-            new = np.diff(key[by], prepend=-2) != 0
-            distinct, now, first = key[by][new], np.empty(len(key), np.int64), np.empty(int(new.sum()), np.int64)
-            now[by] = np.cumsum(new) - 1
-            first[now[::-1]] = np.arange(len(key))[::-1]
-            counts = np.bincount(now[self.trained], minlength=len(distinct))
-            yield np.maximum(distinct, 0) // self.size, at[first], counts, now
+            key = np.r_[0, at[:-1]] << bits
+            key |= self.flat
+            key[self.starts] = -1
+            key, by = _sorted(key)
+            new = np.flatnonzero(np.diff(key, prepend=-2))
+            now = np.empty(len(key), np.int64)
+            now[by] = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(key)]))
+            counts = np.add.reduceat(self.trained[by], new, dtype=np.int64)
+            yield np.maximum(key[new], 0) >> bits, at[by[new]], counts, now
             at = now
 
 
@@ -348,6 +400,9 @@ class Plan:
         packed = pa.Codec("zstd", compression_level=1).compress(text, asbytes=True)
         put(f"{self.root}/words/{block:012d}", np.array([len(text)], "<i8").tobytes() + packed)
 
+    def words_dealt(self, block: int) -> str:
+        return f"{self.root}/words/{block:012d}.dealt"
+
     def forget_words(self) -> None:
         store, path = _store(f"{self.root}/words")
         if store.get_file_info(path).type.name == "Directory":
@@ -361,27 +416,41 @@ class Plan:
 
     def dealt(self, node: np.ndarray, place: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Shard of each n-gram, and the parts and part of its context's split."""
-        parts = np.minimum(self.shards, 1 + count // self.hot)
-        part = _mixed(place) % parts
-        return (_mixed(node) + part) % self.shards, parts, part
+        home = _mixed(node)
+        home -= home // self.shards * self.shards
+        parts, part = np.ones(len(node), np.int64), np.zeros(len(node), np.int64)
+        split = np.flatnonzero(count >= self.hot)
+        if len(split):
+            parts[split] = np.minimum(self.shards, 1 + count[split] // self.hot)
+            part[split] = _mixed(place[split]) % parts[split]
+            home[split] = (home[split] + part[split]) % self.shards
+        return home, parts, part
 
 
 class Asked:
     """The n-grams of one order that a block asks for: those whose context training has seen."""
 
     def __init__(self, plan: Plan, context: np.ndarray, shorter: np.ndarray, before: Known) -> None:
-        rows = np.flatnonzero(before.count[context] > 0)
+        rows = np.flatnonzero((before.count > 0)[context])
         rows = rows[rows > 0]  # n-gram 0 is a document's start
-        at, less = context[rows], shorter[rows]
-        node, place, count = before.node[at], before.place[less], before.count[at]
-        shard, parts, part = plan.dealt(node, place, count)
+        # N-grams of a context lie together and go together; those of a split one go each for itself.
+        at = context[rows]
+        split = before.count >= plan.hot
+        new = np.diff(at, prepend=-1) != 0
+        if split.any():
+            new |= split[at]
+        new = np.flatnonzero(new)
+        sizes, of = np.diff(np.r_[new, len(rows)]), at[new]
+        node, count = before.node[of], before.count[of]
+        shard, parts, part = plan.dealt(node, before.place[shorter[rows[new]]], count)
         # By shard, then by context: nodes travel as small steps. Rows of a context lie together, in an order of their own.
-        new = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(shard, prepend=-1) != 0))
-        turn = np.lexsort((node[new], shard[new])) if (parts > 1).any() else _order(shard[new], node[new])
-        by = _ranges(new[turn], np.diff(np.r_[new, len(rows)])[turn])
-        self.rows, self.shard, self.node, self.place, self.count = rows[by], shard[by], node[by], place[by], count[by]
-        self.parts, self.part, self.lower = parts[by], part[by], quantised(before.chance[less[by]])
-        self.bounds = np.searchsorted(self.shard, np.arange(plan.shards + 1))
+        turn = np.lexsort((node, shard)) if (parts > 1).any() else _order(shard, node)
+        sizes = sizes[turn]
+        self.rows = rows[_ranges(new[turn], sizes)]
+        #: For each n-gram the number of its group, whose context's node, count, shard and split follow.
+        self.group = np.repeat(np.arange(len(turn)), sizes)
+        self.node, self.count, self.shard, self.parts, self.part = (a[turn] for a in (node, count, shard, parts, part))
+        self.bounds = np.r_[0, np.cumsum(sizes)][np.searchsorted(self.shard, np.arange(plan.shards + 1))]
 
 
 def _rows(kind: str, found: list[tuple[int, int, bytes]]) -> pa.Table:
@@ -398,20 +467,26 @@ _TO_SHARD, _TO_BLOCK = "shard long, block long, body binary", "block long, shard
 def _ask(plan: Plan, order: int) -> Callable:
     """Of a block: its distinct n-grams and their training counts, to the shards of their contexts."""
 
+    @roomy
+    def asked_of(block):
+        own = Block(plan.block(block))
+        grams = list(own.grams(order))
+        before = _told(plan, order - 1, block, own, grams)
+        context, shorter, counts, _ = grams[-1]
+        asked = Asked(plan, context, shorter, before)
+        counts, less, found = counts[asked.rows], shorter[asked.rows], []
+        place, lower = before.place[less], quantised(before.chance)[less]
+        node, count = asked.node[asked.group], asked.count[asked.group]
+        for shard in range(plan.shards):
+            part = slice(asked.bounds[shard], asked.bounds[shard + 1])
+            columns = (_steps(node[part]), place[part], counts[part], _steps(count[part]), lower[part])
+            found.append((shard, block, squeeze(*columns)))
+        return _rows("shard", found)
+
     def run(batches):
         for batch in batches:
             for block in batch.column(0).to_pylist():
-                own = Block(plan.block(block))
-                grams = list(own.grams(order))
-                before = _told(plan, order - 1, block, own, grams)
-                context, shorter, counts, _ = grams[-1]
-                asked = Asked(plan, context, shorter, before)
-                counts, found = counts[asked.rows], []
-                for shard in range(plan.shards):
-                    part = slice(asked.bounds[shard], asked.bounds[shard + 1])
-                    columns = (_steps(asked.node[part]), asked.place[part], counts[part], _steps(asked.count[part]), asked.lower[part])
-                    found.append((shard, block, squeeze(*columns)))
-                yield from _rows("shard", found).to_batches()
+                yield from asked_of(block).to_batches()
 
     return run
 
@@ -419,6 +494,7 @@ def _ask(plan: Plan, order: int) -> Callable:
 def _answer(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
     """Of a shard: all blocks' requests to a level of the trie, and the level's answers."""
 
+    @roomy
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         blocks = table.column("block").to_pylist()
@@ -430,15 +506,13 @@ def _answer(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
         of_context = np.concatenate([_from_steps(p[3]) for p in parts])
         lower = np.concatenate([p[4].astype(np.uint8) for p in parts])
         del parts
-        by = _order(node, place)
-        new = np.r_[True, (np.diff(node[by]) != 0) | (np.diff(place[by]) != 0)] if len(by) else np.zeros(0, bool)
-        first = np.flatnonzero(new)
+        by, first = _runs(node, place)
         which = np.empty(len(by), np.int64)
-        which[by] = np.cumsum(new) - 1
+        which[by] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(by)]))
         total = np.add.reduceat(counts[by], first) if len(first) else first
         one = by[first]
         node, place, of_context, lower = node[one], place[one], of_context[one], lower[one]
-        del by, new, counts
+        del by, first, counts
         seen = np.flatnonzero(total > 0)
         starts = np.flatnonzero(np.diff(node[seen], prepend=-1))
         sizes_of = np.diff(np.r_[starts, len(seen)])
@@ -454,14 +528,14 @@ def _answer(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
         level = Level(mapped(uri))
         at, of, start = level.search(node, place)
         columns = [level.codes(level.chances, at, UNSEEN), level.codes(level.weights, of, 0)]
-        last = order == plan.order
+        last, rank = order == plan.order, np.where(at >= 0, at - start, 0)
         found, done = [], 0
         for block, size in zip(blocks, sizes):
             some = which[done : done + size]
             done += size
             body = [c[some] for c in columns]
             if not last:
-                body += [total[some], _steps(start[some]), np.where(at >= 0, at - start, 0)[some]]
+                body += [total[some], _steps(start[some]), rank[some]]
             found.append((block, shard, squeeze(*body)))
         return _rows("block", found)
 
@@ -474,18 +548,17 @@ def _learnt(plan: Plan, order: int, grams: tuple, before: Known, bodies: list[by
     asked = Asked(plan, context, shorter, before)
     answers = [unsqueeze(b) for b in bodies]
     code, left, *more = (np.concatenate(c) for c in zip(*answers))
-    known, n = code < UNSEEN, len(context)
+    known, n, rows = code < UNSEEN, len(context), asked.rows
     chance = before.chance[shorter]
-    chance[asked.rows] -= left / STEPS
-    rows = asked.rows[known]
-    chance[rows] = -code[known] / STEPS
+    chance[rows] = np.where(known, -code / STEPS, chance[rows] - left / STEPS)
     count, node, place = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
     if order < plan.order:
         starts = np.concatenate([_from_steps(a[3]) for a in answers])
-        count[rows], rank = more[0][known], more[2][known]
-        node[rows] = 1 + (starts[known] + rank) * plan.shards + asked.shard[known]
+        # What training has not seen has count 0, and its node is no context's.
+        count[rows], rank = more[0], more[2]
+        node[rows] = 1 + (starts + rank) * plan.shards + asked.shard[asked.group]
         # Places start at 1; those of a split context are told apart by the part.
-        place[rows] = 1 + rank * asked.parts[known] + asked.part[known]
+        place[rows] = known * (1 + rank * asked.parts[asked.group] + asked.part[asked.group])
         count[0] = plan.documents  # n-gram 0 is the start of a document
     return Known(chance, count, node, place)
 
@@ -497,7 +570,7 @@ def _keep(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
         block = table.column("block")[0].as_py()
         bodies = [b for _, b in sorted(zip(table.column("shard").to_pylist(), table.column("body").to_pylist()))]
         if order == 1:
-            raw = _vocabulary(plan, plan.words(block), bodies)
+            raw = _vocabulary(plan, unsqueeze(get(plan.words_dealt(block)))[0], bodies)
         else:
             raw = np.array([len(bodies), *map(len, bodies)], "<i8").tobytes() + b"".join(bodies)
         put(plan.told(block, order), raw)
@@ -506,13 +579,11 @@ def _keep(plan: Plan, order: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _vocabulary(plan: Plan, own: list[bytes], bodies: list[bytes]) -> bytes:
+def _vocabulary(plan: Plan, shard: np.ndarray, bodies: list[bytes]) -> bytes:
     """Counts and places of a block's words, and the number of distinct training words."""
-    shard = word_shards(own, plan.shards)
-    counts, place, distinct = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64), 0
-    for s, body in enumerate(bodies):
+    counts, place, distinct = np.zeros(len(shard), np.int64), np.zeros(len(shard), np.int64), 0
+    for s, (at, body) in enumerate(zip(_by_shard(shard, plan.shards), bodies, strict=True)):
         of, ranks, size = unsqueeze(body)
-        at = np.flatnonzero(shard == s)
         counts[at], place[at] = of, np.where(of > 0, 2 + ranks * plan.shards + s, 0)
         distinct += int(size[0])
     return squeeze(counts, place, np.array([distinct]))
@@ -540,7 +611,17 @@ def _told(plan: Plan, order: int, block: int, own: Block, grams: list[tuple], bo
 
 
 def word_shards(some: list[bytes], shards: int) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in some), np.int64, len(some))
+    return (_told_apart(some) % np.uint64(shards)).astype(np.int64)
+
+
+def _told_apart(some: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, some), np.uint64, len(some))
+
+
+def _by_shard(shard: np.ndarray, shards: int) -> list[np.ndarray]:
+    """The places of each shard's entries, ascending."""
+    by = np.argsort(shard, kind="stable")
+    return np.split(by, np.searchsorted(shard[by], np.arange(1, shards)))
 
 
 def _ask_words(plan: Plan) -> Callable:
@@ -552,8 +633,8 @@ def _ask_words(plan: Plan) -> Callable:
                 own, known = Block(plan.block(block)), plan.words(block)
                 counts = np.bincount(own.flat[own.trained], minlength=own.size)[: len(known)]
                 shard, some, found = word_shards(known, plan.shards), np.array(known, dtype=object), []
-                for s in range(plan.shards):
-                    at = np.flatnonzero(shard == s)
+                put(plan.words_dealt(block), squeeze(shard))
+                for s, at in enumerate(_by_shard(shard, plan.shards)):
                     text, body = b" ".join(some[at].tolist()), squeeze(counts[at])
                     packed = pa.Codec("zstd", compression_level=1).compress(text, asbytes=True)
                     found.append((s, block, np.array([len(text), len(body)], "<i8").tobytes() + body + packed))
@@ -562,23 +643,23 @@ def _ask_words(plan: Plan) -> Callable:
     return run
 
 
+@roomy
 def _answer_words(table: pa.Table) -> pa.Table:
     """Of a shard of the vocabulary: counts over all blocks, and ranks by falling count."""
     shard, blocks = table.column("shard")[0].as_py(), table.column("block").to_pylist()
-    known: dict[bytes, int] = defaultdict()
-    known.default_factory = known.__len__
-    places, counts = [], []
+    texts, counts = [], []
     for raw in table.column("body").to_pylist():
         size, head = np.frombuffer(raw, "<i8", 2).tolist()
         counts.append(unsqueeze(raw[16 : 16 + head])[0])
-        own = pa.Codec("zstd").decompress(raw[16 + head :], size, asbytes=True).split()
-        places.append(np.fromiter(map(known.__getitem__, own), np.int64, len(own)))
+        texts.append(pa.Codec("zstd").decompress(raw[16 + head :], size, asbytes=True))
+    sizes, lengths, text = words(pa.array(texts, pa.large_binary()))
+    at, known = numbered(lengths, text)
+    places = np.split(at, np.cumsum(sizes)[:-1])
     total = np.zeros(len(known), np.int64)
-    for at, n in zip(places, counts):
+    for at, n in zip(places, counts, strict=True):
         total[at] += n
-    told = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
     rank = np.empty(len(known), np.int64)
-    rank[np.lexsort((told, -total))] = np.arange(len(known))
+    rank[np.lexsort((_told_apart(known), -total))] = np.arange(len(known))
     size = np.array([(total > 0).sum()])
     return _rows("block", [(b, shard, squeeze(total[at], rank[at], size)) for b, at in zip(blocks, places)])
 
@@ -589,6 +670,7 @@ _SCORES = "doc_id long, train boolean, n_tokens long, n_known long, base_score d
 def _finish(plan: Plan) -> Callable[[pa.Table], pa.Table]:
     """Of a block: the answers of the last order become scores."""
 
+    @roomy
     def run(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         bodies = [b for _, b in sorted(zip(table.column("shard").to_pylist(), table.column("body").to_pylist()))]
@@ -619,32 +701,41 @@ def _cut(plan: Plan, size: int, train: Column, docs: DataFrame) -> DataFrame:
 
     def run(batches):
         part, count = TaskContext.get().partitionId(), 0
-        doc_ids, flags, tokens, held = [], [], [], 0
-        known: dict[bytes, int] = defaultdict()
-        known.default_factory = known.__len__
+        doc_ids, flags, sizes, lengths, texts, held = [], [], [], [], [], 0
 
         def flush():
-            nonlocal doc_ids, flags, tokens, held, count
+            nonlocal doc_ids, flags, sizes, lengths, texts, held, count
             number = part << 20 | count
-            Block.write(plan.block(number), doc_ids, flags, tokens, len(known))
-            plan.put_words(number, list(known))
-            trained = sum(len(t) + 1 for t, f in zip(tokens, flags) if f)
-            values = [number, held, trained, sum(flags)]
-            doc_ids, flags, tokens, held, count = [], [], [], 0, count + 1
-            known.clear()
+            tokens, known = numbered(np.concatenate(lengths), b"".join(texts))
+            n_words, trained = np.concatenate(sizes), np.array(flags)
+            Block.write(plan.block(number), doc_ids, flags, n_words, tokens, len(known))
+            plan.put_words(number, known)
+            values = [number, held, int((n_words + 1)[trained].sum()), int(trained.sum())]
+            doc_ids, flags, sizes, lengths, texts, held, count = [], [], [], [], [], 0, count + 1
             return pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in values], names=["block", "tokens", "trained", "documents"])
 
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
-                some = batch.slice(k, 500)
-                for doc_id, flag, text in zip(*(c.to_pylist() for c in some.columns)):
-                    own = words(text or b"")
-                    doc_ids.append(doc_id)
-                    flags.append(flag)
-                    tokens.append(np.fromiter(map(known.__getitem__, own), np.int32, len(own)))
-                    held += len(own) + 1
+                ids, train_, some = batch.slice(k, 500).columns
+                ids, train_ = ids.to_pylist(), train_.to_pylist()
+                n_words, n_bytes, text = words(some)
+                # Words, bytes and tokens before each document.
+                at = np.r_[0, np.cumsum(n_words)]
+                within = np.r_[0, np.cumsum(n_bytes)][at]
+                before, done = at + np.arange(len(at)), 0
+                while done < len(ids):
+                    # Up to the document that fills the block.
+                    end = min(int(np.searchsorted(before, before[done] + size - held)), len(ids))
+                    end = max(end, done + 1)
+                    doc_ids += ids[done:end]
+                    flags += train_[done:end]
+                    sizes.append(n_words[done:end])
+                    lengths.append(n_bytes[at[done] : at[end]])
+                    texts.append(text[within[done] : within[end]])
+                    held += int(before[end] - before[done])
                     if held >= size:
                         yield flush()
+                    done = end
         if doc_ids:
             yield flush()
 
